@@ -1,0 +1,84 @@
+"""Keys with too many rows for one task, and how to cut their timelines.
+
+A window over a key puts all rows of the key into one task. For the few keys
+where that is too much, the timeline is cut at quantiles into segments that
+become groups of their own; the value a segment needs from its neighbour is
+looked up in a small table of segment edges. Where the cuts lie changes the
+cost only, never the result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 1_000
+CUT_STEPS = (128, 64, 32, 16, 8, 4, 2, 1)
+CUTS = sum(CUT_STEPS)
+SEGMENT = "_segment"
+NEXT = "_next"
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with the most rows, among those with more than ``hot_rows``.
+
+    At most ``MAX_HOT_KEYS``, so it may be broadcast. A key beyond them has at
+    most one row in ``MAX_HOT_KEYS`` and takes the ordinary way.
+    """
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    return counted.orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS).select(*keys)
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [left[k].eqNullSafe(right[k]) for k in keys]
+
+
+def can_cut(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def with_segments(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``_segment``: number of the key's quantile cuts below the row's place.
+
+    For hot keys only: the table of cuts has ``CUTS`` values per key.
+    """
+    percentages = F.array(*[F.lit(i / (CUTS + 1)) for i in range(1, CUTS + 1)])
+    cuts = rows.groupBy(*keys).agg(
+        F.percentile_approx(order, percentages, F.lit(10 * (CUTS + 1))).alias("_cuts")
+    )
+    cut_rows = rows.join(F.broadcast(cuts), same_keys(rows, cuts, keys)).select(
+        *[rows[c] for c in rows.columns], "_cuts"
+    )
+    # Binary search in the sorted cuts: eight comparisons per row.
+    steps = F.array(*map(F.lit, CUT_STEPS))
+    segment = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: at
+        + F.when(F.element_at("_cuts", at + step) < F.col(order), step).otherwise(0),
+    )
+    return cut_rows.select(*rows.columns, segment.alias(SEGMENT))
+
+
+def next_in_segments(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``_next``: the following value of ``order`` in the key's whole timeline.
+
+    ``rows`` carry ``_segment``. Only one value per segment goes to the edges.
+    """
+    by_segment = W.partitionBy(*keys, SEGMENT).orderBy(order)
+    firsts = rows.groupBy(*keys, SEGMENT).agg(F.min(order).alias("_first"))
+    edges = firsts.select(
+        *keys,
+        SEGMENT,
+        F.lead("_first").over(W.partitionBy(*keys).orderBy(SEGMENT)).alias("_edge"),
+    )
+    inside = rows.withColumn(NEXT, F.lead(order).over(by_segment))
+    return inside.join(F.broadcast(edges), same_keys(inside, edges, [*keys, SEGMENT])).select(
+        *[inside[c] for c in rows.columns],
+        F.coalesce(inside[NEXT], edges["_edge"]).alias(NEXT),
+    )
