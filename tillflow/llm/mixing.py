@@ -62,10 +62,11 @@ def mixture_targets(
     leveled = (
         ranked.withColumn("whole", F.sum("source_size").over(everything) * float(share))
         .withColumn("level", (F.col("whole") - before) / left)
-        # The first source whose cap is not reached tells the level of all.
         .withColumn("open", F.col("level") <= F.col("cap") / F.col("weight"))
     )
-    level = F.min(F.when(F.col("open"), F.col("level"))).over(everything)
+    # The first source whose cap is not reached tells the level of all.
+    rank = F.when(F.col("open"), F.struct(F.col("cap") / F.col("weight"), "place"))
+    level = F.min_by("level", rank).over(everything)
     target = F.least("cap", F.col("weight") * level)
     return leveled.select(
         "source", "source_size", F.coalesce(target, F.col("cap")).alias("target")
