@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import bpe
-from tillflow.llm.common import documents
+from tillflow.llm.common import documents, id_residue
 from tillflow.llm.exact_dedup import exact_dedup
+from tillflow.llm.language_id import identify, learn
 from tillflow.llm.line_dedup import line_dedup
+from tillflow.llm.lm_score import lm_scores
 from tillflow.llm.mixing import mix
+from tillflow.llm.quality import quality_rules
 from tillflow.llm.sharding import shard_by_bytes
 
 RANKS = "byte_bpe_50k.tiktoken"
+LANGUAGE_PIECES = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +29,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(id_residue("doc_id", 4) == 2, F.lit(False))
+    model = learn(docs.filter(~held_out), public_tokenizers.path(LANGUAGE_PIECES))
+    found = identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def bpe_round_trip(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
@@ -41,6 +53,34 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(documents(spark, sf_dir))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = F.coalesce(id_residue("doc_id", 10) != 0, F.lit(True))
+    scored = lm_scores(documents(spark, sf_dir), train)
+    return scored.select(
+        "doc_id",
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(documents(spark, sf_dir))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -53,7 +93,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_exact_dedup, op2_line_dedup, op5_byte_bpe, op9_mixing, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_line_dedup,
+        op3_language_id,
+        op5_byte_bpe,
+        op6_lm_score,
+        op8_quality_rules,
+        op9_mixing,
+        op10_sharding,
+    )
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
