@@ -63,7 +63,8 @@ def exact_dedup(
             groups.withColumn("next_part", F.monotonically_increasing_id()), "radix-groups"
         )
         goes_on = F.col("n").isNotNull() & (F.length("digit") == width)
-        split = cut.join(groups, ["part", "digit"], "left").select(
+        # Always by a sorted shuffle: the texts move once, at every size alike.
+        split = cut.join(groups.hint("merge"), ["part", "digit"], "left").select(
             F.col("row") if levels else F.monotonically_increasing_id().alias("row"),
             "id",
             "sha",
