@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillflow.llm import bpe
 from tillflow.llm.common import documents, id_residue
 from tillflow.llm.exact_dedup import exact_dedup
+from tillflow.llm.jaccard_join import jaccard_join
 from tillflow.llm.language_id import identify, learn
 from tillflow.llm.line_dedup import line_dedup
 from tillflow.llm.lm_score import lm_scores
@@ -67,6 +68,10 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(documents(spark, sf_dir))
     return judged.select(
@@ -100,6 +105,7 @@ QUERIES = {
         op3_language_id,
         op5_byte_bpe,
         op6_lm_score,
+        op7_jaccard_join,
         op8_quality_rules,
         op9_mixing,
         op10_sharding,
