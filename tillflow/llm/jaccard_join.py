@@ -108,9 +108,11 @@ def runs_for(similarity: float, recall: float, depth: int = DEPTH) -> int:
     return max(1, math.ceil(math.log(1.0 - recall) / math.log(alone))) if alone > 0 else 1
 
 
-def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, digest of the words, number of shingles, minhash values."""
+def _signed(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
+    """Per row: id, row, digest of the words, number of shingles, minhash values."""
     kind = docs.schema[id_col].dataType.simpleString()
+    row_kind = docs.schema[row_col].dataType.simpleString() if row_col else "bigint"
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,15 +128,20 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["id"],
+                    batch["row"],
                     pa.array(copies, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                names=["id", "copy", "shingles", "values"],
+                names=["id", "row", "copy", "shingles", "values"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, copy binary, shingles bigint, values array<int>")
+    rows = docs.select(
+        F.col(id_col).alias("id"), row.alias("row"), text_of(text_col).alias("text")
+    )
+    return rows.mapInArrow(
+        run, f"id {kind}, row {row_kind}, copy binary, shingles bigint, values array<int>"
+    )
 
 
 def _children(path: Column, first: Column, second: Column, has_second: Column) -> Column:
@@ -365,13 +372,15 @@ def jaccard_join(
     text_col: str = "text",
     similarity: float = SIMILARITY,
     recall: float = TARGET_RECALL,
+    row_col: str | None = None,
 ) -> DataFrame:
     """A row per row of ``docs``: id, ``copy_of``, ``n_copies``, ``n_links``, ``class_id``, ``kept``.
 
     ``copy_of`` is the largest id with the same words and ``n_copies`` their
     number, ``n_links`` the number of different texts that are linked to this
     one, ``class_id`` the largest id among all texts connected by links, and
-    ``kept`` marks one row of each class, that with the largest id.
+    ``kept`` marks one row of each class, that with the largest id. A column
+    ``row_col`` that tells all rows apart is returned too.
 
     * Texts are compared by words, A-Z lower-cased; blanks don't matter. Fewer
       words than five make one shingle.
@@ -382,10 +391,7 @@ def jaccard_join(
     * A null id is smaller than any other.
     * An empty table gives no rows. Other columns are not looked at.
     """
-    rows = stored(
-        _signed(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()),
-        "join-rows",
-    )
+    rows = stored(_signed(docs, id_col, text_col, row_col), "join-rows")
     first = F.struct("id", "row")
     nodes = stored(
         rows.filter("shingles > 0")
@@ -466,8 +472,10 @@ def jaccard_join(
         )
     )
     answers = stored(answers, "join-answers")
+    named = [F.col("row").alias(row_col)] if row_col else []
     with_set = rows.filter("shingles > 0").select("id", "row", "copy").join(answers, "copy")
     return with_set.select(
+        *named,
         F.col("id").alias(id_col),
         "copy_of",
         "n_copies",
@@ -476,6 +484,7 @@ def jaccard_join(
         (F.col("row") == F.col("class_best.row")).alias("kept"),
     ).unionByName(
         rows.filter("shingles = 0").select(
+            *named,
             F.col("id").alias(id_col),
             F.col("id").alias("copy_of"),
             F.lit(1).cast("long").alias("n_copies"),

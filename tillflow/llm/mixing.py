@@ -155,11 +155,13 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
     """A row per row of ``docs``: id, ``size``, ``source``, ``source_size``, ``target``, ``taken``.
 
     ``size`` is the number of words, ``taken`` the words the mix takes of the
-    row: ``size`` times 0 to ``max_repeats``.
+    row: ``size`` times 0 to ``max_repeats``. A column ``row_col`` is returned
+    too; it decides nothing.
 
     * A null text has no words; rows without words are never taken.
     * A null source is a source of its own, the last one.
@@ -169,6 +171,7 @@ def mix(
     * The same rows give the same mix, however they are partitioned.
     """
     rows = docs.select(
+        *([F.col(row_col).alias("row")] if row_col else []),
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
@@ -239,6 +242,7 @@ def mix(
     )
     decided = whole.unionByName(ordered)
     return decided.join(targets, same_source(decided, targets)).select(
+        *([F.col("row").alias(row_col)] if row_col else []),
         F.col("id").alias(id_col),
         "size",
         decided["source"].alias(source_col),

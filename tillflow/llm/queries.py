@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import bpe
-from tillflow.llm.common import documents, id_residue
+from tillflow.llm.common import WORD, documents, id_residue
 from tillflow.llm.exact_dedup import exact_dedup
 from tillflow.llm.jaccard_join import jaccard_join
 from tillflow.llm.language_id import identify, learn
+from tillflow.llm.license_scan import CUES, license_scan
 from tillflow.llm.line_dedup import line_dedup
 from tillflow.llm.lm_score import lm_scores
 from tillflow.llm.mixing import mix
@@ -38,6 +39,23 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def with_path(docs: DataFrame) -> DataFrame:
+    """A path for each document, since the table has none: its source is the top
+    directory, sections of 4096 and of 64 ids lie below, and short texts with a
+    licence notice are the licence files of their directories.
+    """
+    notice = (F.regexp_count("text", F.lit(WORD)) <= 100) & F.lower("text").rlike(CUES)
+    name = F.when(notice, F.lit("LICENSE")).otherwise(F.format_string("%d.txt", "doc_id"))
+    return docs.withColumn(
+        "path",
+        F.concat_ws("/", "source", F.expr("doc_id div 4096"), F.expr("doc_id div 64"), name),
+    )
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(with_path(documents(spark, sf_dir)))
+
+
 def bpe_round_trip(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
@@ -103,6 +121,7 @@ QUERIES = {
         op1_exact_dedup,
         op2_line_dedup,
         op3_language_id,
+        op4_license_scan,
         op5_byte_bpe,
         op6_lm_score,
         op7_jaccard_join,
