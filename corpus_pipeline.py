@@ -13,52 +13,53 @@ from tillflow.llm.mixing import mix
 from tillflow.llm.quality import quality_rules
 from tillflow.llm.queries import bpe_round_trip
 
-ROW = "_row"
 
+def with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a last column that tells equal rows apart, and its name.
 
-def with_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``: the file and the place in it, which tell equal rows apart.
-
-    Rows that were not read from files are written first.
+    It is the file and the place in it; rows that were not read from files are
+    written first.
     """
-    place = F.struct(F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    place = F.struct(F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")).alias(name)
     try:
-        return docs.select("*", place.alias(ROW))
+        return docs.select("*", place), name
     except AnalysisException:
-        return stored(docs, "pipeline-rows").select("*", place.alias(ROW))
+        return stored(docs, "pipeline-rows").select("*", place), name
 
 
-def _only(rows: DataFrame, decided: DataFrame) -> DataFrame:
+def _only(rows: DataFrame, row: str, decided: DataFrame) -> DataFrame:
     """The rows that ``decided`` names; texts move once, by a sorted shuffle at every size."""
-    return rows.join(decided.select(ROW).hint("merge"), ROW, "left_semi").drop(ROW)
+    return rows.join(decided.select(row).hint("merge"), row, "left_semi").drop(row)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = with_rows(docs)
-    return _only(rows, quality_rules(rows, id_col=ROW).filter("kept"))
+    rows, row = with_rows(docs)
+    return _only(rows, row, quality_rules(rows, id_col=row).filter("kept"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that stay in another one; ``n_chars`` follows the text."""
-    kept = line_dedup(docs).drop("n_lines", "n_dropped")
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    kept = line_dedup(docs).select(*docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: that with the largest id."""
-    rows = with_rows(docs)
-    return _only(rows, jaccard_join(rows, row_col=ROW).filter("kept"))
+    rows, row = with_rows(docs)
+    return _only(rows, row, jaccard_join(rows, row_col=row).filter("kept"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: never, once or twice."""
-    rows = with_rows(docs)
-    taken = mix(rows, row_col=ROW).filter("taken > 0")
-    times = taken.select(ROW, (F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    met = rows.join(times.hint("merge"), ROW)
-    again = F.explode(F.array_repeat(F.lit(0), F.col("_times")))
-    return met.select(*docs.columns, again.alias("_again")).drop("_again")
+    rows, row = with_rows(docs)
+    taken = mix(rows, row_col=row).filter("taken > 0")
+    times = (F.col("taken") / F.col("size")).cast("int")
+    copies = taken.select(row, F.explode(F.array_repeat(F.lit(0), times))).select(row)
+    return rows.join(copies.hint("merge"), row).drop(row)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,10 +17,6 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 
 
-def _lines(text_col: str) -> Column:
-    return F.split(text_of(text_col), "\n", -1)
-
-
 def _normal(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(BLANKS)))
 
@@ -55,39 +51,45 @@ def line_dedup(
     * Rows without id count as documents and keep all their lines.
     * An empty table gives no rows.
     """
-    rows = docs.drop("n_lines", "n_dropped")
-    lines = F.filter(_lines(text_col), lambda line: _is_long(line, min_chars))
+    # The row as one struct: whatever its columns are called, nothing clashes.
+    names = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
+    rows = docs.select(F.struct(*names).alias("doc"))
+    own = F.col("doc").getField(id_col)
+    text = F.split(text_of(F.col("doc").getField(text_col)), "\n", -1)
+    lines = F.filter(text, lambda line: _is_long(line, min_chars))
     keys = F.array_distinct(F.transform(lines, _key))
-    keyed = rows.select(F.col(id_col).alias("_id"), keys.alias("_keys"))
-    keyed = stored(keyed.filter(F.size("_keys") > 0), "line-keys")
-    holders = keyed.select("_id", F.explode("_keys").alias("_key"))
+    keyed = rows.select(own.alias("id"), keys.alias("keys"))
+    keyed = stored(keyed.filter(F.size("keys") > 0), "line-keys")
+    holders = keyed.select("id", F.explode("keys").alias("key"))
     frequent = stored(
-        holders.groupBy("_key")
-        .agg(F.count("*").alias("_n"), F.max("_id").alias("_last"))
-        .filter(F.col("_n") >= min_docs)
-        .select("_key", "_last"),
+        holders.groupBy("key")
+        .agg(F.count("*").alias("n"), F.max("id").alias("last"))
+        .filter(F.col("n") >= min_docs)
+        .select("key", "last"),
         "line-frequent",
     )
     lost = (
-        holders.join(frequent, "_key")
-        .filter(F.col("_id") != F.col("_last"))
-        .groupBy("_id")
-        .agg(F.collect_set("_key").alias("_lost"))
+        holders.join(frequent, "key")
+        .filter(F.col("id") != F.col("last"))
+        .groupBy("id")
+        .agg(F.collect_set("key").alias("lost"))
     )
     stays = F.filter(
-        "_lines",
-        lambda line: ~(_is_long(line, min_chars) & F.array_contains(F.col("_lost"), _key(line))),
+        "lines",
+        lambda line: ~(_is_long(line, min_chars) & F.array_contains(F.col("lost"), _key(line))),
     )
     met = (
-        rows.withColumn("_lines", _lines(text_col))
-        .join(lost, F.col(id_col) == F.col("_id"), "left")
-        .withColumn("_stays", F.when(F.col("_lost").isNull(), F.col("_lines")).otherwise(stays))
+        rows.withColumn("lines", text)
+        .join(lost, own == F.col("id"), "left")
+        .withColumn("stays", F.when(F.col("lost").isNull(), F.col("lines")).otherwise(stays))
     )
     return met.select(
         *[
-            F.array_join("_stays", "\n").alias(text_col) if name == text_col else F.col(name)
-            for name in rows.columns
+            (
+                F.array_join("stays", "\n") if name == text_col else F.col("doc").getField(name)
+            ).alias(name)
+            for name in names
         ],
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_stays")).cast("long").alias("n_dropped"),
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("stays")).cast("long").alias("n_dropped"),
     )
