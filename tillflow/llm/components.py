@@ -27,16 +27,19 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m")
+        # Stored, so that the join can split a node with many neighbours.
+        least = stored(
+            both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
+            "stars-least",
         )
-        large = (
+        large = stored(
             both.join(least, "u")
             .filter("v > u")
             .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-            .distinct()
+            .distinct(),
+            "stars-large",
         )
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        least = stored(large.groupBy("hi").agg(F.min("lo").alias("m")), "stars-least")
         met = large.join(least, "hi")
         small = met.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).filter(
             "hi <> lo"

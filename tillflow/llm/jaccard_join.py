@@ -40,6 +40,7 @@ VALUES = 64
 LEAF = 32
 DEPTH = 8
 SECOND = 4  # one node in so many is split by a second value
+STUCK = 0.75  # a bucket with this part of the one above is not split again
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 4_000_000
 KNOWN_WORDS = 400_000
@@ -221,16 +222,19 @@ def candidate_edges(
 ) -> DataFrame:
     """Edges (``a``, ``b``) that connect every similar pair with the wanted probability.
 
-    ``nodes`` are (``node``, ``values``). Buckets that are still large at the
-    greatest depth agree in as many sampled values; their members are joined
-    to one of them unseen, and the exact check tells them apart.
+    ``nodes`` are (``node``, ``values``). A large bucket that a split leaves
+    nearly whole holds near copies, which no further split would tell apart,
+    and one at the greatest depth agrees in as many values: their members are
+    joined to one of them unseen, and the exact check decides.
     """
     draw = random.Random(0)
     roots = []
     for run in range(runs_for(similarity, recall, depth)):
         places = draw.sample(range(VALUES), 2 if draw.random() * SECOND < 1 else 1)
         roots += [F.xxhash64(F.lit(run), F.lit(p), F.get("values", F.lit(p))) for p in places]
-    paths = nodes.select("node", F.explode(F.array(*roots)).alias("bucket"))
+    paths = nodes.select("node", F.explode(F.array(*roots)).alias("bucket")).withColumn(
+        "above", F.lit(None).cast("bigint")
+    )
     sketch = F.unhex(
         F.array_join(
             F.transform("values", lambda v: F.lpad(F.hex(v.bitwiseAND(255)), 2, "0")), ""
@@ -241,22 +245,26 @@ def candidate_edges(
     edges: list[DataFrame] = []
     for level in range(1, depth + 1):
         sizes = stored(
-            paths.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "path-sizes"
+            paths.groupBy("bucket")
+            .agg(F.count("*").alias("n"), F.max("above").alias("above"), F.min("node").alias("b"))
+            .filter("n > 1"),
+            "path-sizes",
+        )
+        stuck = (F.col("n") >= STUCK * F.col("above")) | F.lit(level == depth)
+        kind = F.when(F.col("n") <= leaf, "small").when(stuck, "whole").otherwise("large")
+        members = stored(
+            paths.drop("above").join(sizes, "bucket").withColumn("kind", kind), "path-members"
         )
-        members = stored(paths.join(sizes, "bucket").select("bucket", "node", "n"), "path-members")
-        small.append(members.filter(F.col("n") <= leaf).select("bucket", "node"))
-        large = members.filter(F.col("n") > leaf).select("bucket", "node")
+        small.append(members.filter("kind = 'small'").select("bucket", "node"))
+        edges.append(members.filter("kind = 'whole'").select(F.col("node").alias("a"), "b"))
+        large = members.filter("kind = 'large'").select("bucket", "node", F.col("n").alias("above"))
         if large.isEmpty():
             break
-        if level == depth:
-            centres = large.groupBy("bucket").agg(F.min("node").alias("b"))
-            edges.append(large.join(centres, "bucket").select(F.col("node").alias("a"), "b"))
-            break
         at = [F.pmod(F.xxhash64("bucket", F.lit(k)), F.lit(VALUES)).cast("int") for k in (1, 2)]
         twice = F.pmod(F.xxhash64("bucket", F.lit(3)), F.lit(SECOND)) == 0
         paths = (
             large.join(nodes.select("node", "values"), "node")
-            .select("node", _children(F.col("bucket"), at[0], at[1], twice).alias("bucket"))
+            .select("node", _children(F.col("bucket"), at[0], at[1], twice).alias("bucket"), "above")
         )
     leaves = small[0]
     for more in small[1:]:
