@@ -33,10 +33,7 @@ TERMINAL_ID_PATTERN = r"^TERM-\d{2}$"
 
 # Patterns and enumerations of the customer records.
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
-PHONE_PATTERN = (
-    r"^\+?\(?[0-9]{1,3}\)?[-. ]?\(?[0-9]{3}\)?[-. ]?[0-9]{3}[-. ]?[0-9]{4}"
-    r"(\s?(x|ext\.?)\s?[0-9]{1,6})?$"
-)
+PHONE_PATTERN = r"^\+?\(?[0-9]{1,3}\)?[-. ]?\(?[0-9]{3}\)?[-. ]?[0-9]{3}[-. ]?[0-9]{4}(\s?(x|ext\.?)\s?[0-9]{1,6})?$"  # noqa: E501
 ADDRESS_PATTERN = r"^[0-9]+[A-Za-z0-9 .,#-]*$"
 ZIP_CODE_PATTERN = r"^[0-9]{5}(-[0-9]{4})?$"
 GENDERS = ("M", "F")

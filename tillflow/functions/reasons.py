@@ -23,7 +23,6 @@ def reasons(rules: Iterable[Rule]) -> Column:
     The lambda keeps this expression out of whole-stage code generation, which
     is wanted: inlined into one method, some thirty rules outgrow what the JVM
     compiles, while the projection used here splits them into small methods.
-    To merely *choose* rows, use ``passes``.
     """
     slots = [F.when(rule.fires, F.lit(rule.code)) for rule in rules]
     if not slots:
@@ -31,18 +30,6 @@ def reasons(rules: Iterable[Rule]) -> Column:
     return F.filter(F.array(*slots), lambda code: code.isNotNull())
 
 
-def passes(rules: Iterable[Rule]) -> Column:
-    """True where no rule fires; the same rows as ``size(reasons(rules)) = 0``.
-
-    Being a conjunction, it lets Catalyst push the simple parts (not null,
-    membership) into the file scan and stop at the first rule that fires.
-    """
-    result = F.lit(True)
-    for rule in rules:
-        result = result & ~F.coalesce(rule.fires, F.lit(False))
-    return result
-
-
 def add_reasons(df: DataFrame, column: str, rules: Iterable[Rule]) -> DataFrame:
     """Append the codes of more rules to a list that may be null."""
     present = F.coalesce(F.col(column), F.array().cast("array<string>"))

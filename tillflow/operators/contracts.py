@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from tillflow.operators.expectations import demand
 from tillflow.sources import schemas as s
 
 
@@ -33,7 +31,9 @@ def enforce_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """The declared columns in their order and types; a forbidden NULL ends the query.
 
     A column that is missing or of another type is refused at once: values are
-    never cast silently on the way into a table.
+    never cast silently on the way into a table. The checks are part of the
+    projection, so no row fails that an earlier filter removed; call this
+    directly before a sink, since a count alone would not compute the columns.
     """
     given = {f.name: f.dataType for f in df.schema}
     for field in contract.schema:
@@ -44,14 +44,22 @@ def enforce_contract(df: DataFrame, contract: Contract) -> DataFrame:
                 f"{contract.name}: column {field.name} is {given[field.name].simpleString()},"
                 f" not {field.dataType.simpleString()}"
             )
-    chosen = df.select(*contract.schema.fieldNames())
-    present = [F.col(f.name).isNotNull() for f in contract.schema if not f.nullable]
-    if not present:
-        return chosen
-    everything = reduce(lambda a, b: a & b, present)
-    return chosen.filter(demand(everything, f"{contract.name}: NULL in a NOT NULL column"))
+    return df.select(*[_present(field, contract.name) for field in contract.schema])
+
+
+def _present(field: StructField, table: str) -> Column:
+    if field.nullable:
+        return F.col(field.name)
+    message = F.lit(f"{table}: NULL in a NOT NULL column, {field.name}")
+    failed = F.raise_error(message).cast(field.dataType)
+    return F.coalesce(F.col(field.name), failed).alias(field.name)
 
 
 def check_mode(contract: Contract, mode: str) -> None:
     if contract.append_only and mode != "append":
         raise ValueError(f"{contract.name} is append-only, mode {mode!r} is refused")
+
+
+def table_properties(contract: Contract) -> dict[str, str]:
+    """What a table's definition records of its contract."""
+    return {"quality": contract.quality, "append_only": str(contract.append_only).lower()}

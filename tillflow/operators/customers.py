@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillflow.functions import domains as d
 from tillflow.functions.clock import AsOf, instant
 from tillflow.functions.customer_rules import customer_rules
-from tillflow.functions.reasons import passes, reasons
+from tillflow.functions.reasons import reasons
 from tillflow.operators.expectations import Expectation, apply_expectations
 from tillflow.sources.schemas import CUSTOMER_CLEANED, CUSTOMER_FIELDS, CUSTOMER_TYPES, RESCUED
 
@@ -21,14 +23,14 @@ def _typed(name: str) -> Column:
     return F.col(name)
 
 
-def cast_customers(df: DataFrame, as_of: AsOf = None) -> DataFrame:
+def cast_customers(df: DataFrame, as_of: AsOf = None, also: Sequence[str] = ()) -> DataFrame:
     """The profile columns in their types; unreadable text becomes null."""
     return df.select(
-        *map(_typed, CUSTOMER_FIELDS), instant(as_of).alias("ingestion_time"), RESCUED
+        *map(_typed, CUSTOMER_FIELDS), instant(as_of).alias("ingestion_time"), RESCUED, *also
     )
 
 
-def flag_customers(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
+def flag_customers(raw: DataFrame, as_of: AsOf = None, also: Sequence[str] = ()) -> DataFrame:
     """Typed columns and all reasons against the row; nothing is dropped.
 
     The rules read the raw text, and the row is stamped anew with ``as_of``.
@@ -38,6 +40,7 @@ def flag_customers(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
         instant(as_of).alias("ingestion_time"),
         RESCUED,
         reasons(customer_rules()).alias(REASONS),
+        *also,
     )
 
 
@@ -45,22 +48,11 @@ def customer_dead_letters(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.size(REASONS) > 0).withColumn("is_corrupted", F.lit(True))
 
 
-def dead_letters_of_raw(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``customer_dead_letters(flag_customers(raw))``; lists for failing rows only."""
-    failing = raw.filter(~passes(customer_rules()))
-    return flag_customers(failing, as_of).withColumn("is_corrupted", F.lit(True))
-
-
 def customers_cleaned(flagged: DataFrame) -> DataFrame:
     """Rows without reasons, in the columns of the cleaned table."""
     return flagged.filter(F.size(REASONS) == 0).select(*CUSTOMER_CLEANED.fieldNames())
 
 
-def cleaned_of_raw(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``customers_cleaned(flag_customers(raw))`` as one pushable conjunction."""
-    return cast_customers(raw.filter(passes(customer_rules())), as_of)
-
-
 def _filled(name: str) -> Column:
     return F.col(name).isNotNull() & (F.trim(name) != "")
 
@@ -79,9 +71,12 @@ def customer_expectations(as_of: AsOf = None) -> list[Expectation]:
 
 
 def guarded_customers(
-    flagged: DataFrame, as_of: AsOf = None, observe_as: str | Observation | None = None
+    flagged: DataFrame,
+    as_of: AsOf = None,
+    observe_as: str | Observation | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """The cleaned table: rows without reasons that meet all expectations."""
-    candidates = flagged.filter(F.size(REASONS) == 0)
-    kept = apply_expectations(candidates, customer_expectations(as_of), observe_as)
-    return kept.select(*CUSTOMER_CLEANED.fieldNames())
+    candidates = F.size(REASONS) == 0
+    kept = apply_expectations(flagged, customer_expectations(as_of), observe_as, where=candidates)
+    return kept.select(*CUSTOMER_CLEANED.fieldNames(), *also)

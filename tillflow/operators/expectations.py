@@ -33,9 +33,15 @@ def apply_expectations(
     df: DataFrame,
     expectations: Sequence[Expectation],
     observe_as: str | Observation | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
     """Rows that meet every expectation; a violated "fail" ends the query.
 
+    ``where`` chooses the rows that are judged and kept; a filter before this
+    call would not do: the optimizer may move the checks below a join, where
+    the rows that the filter removes are still there. So choice and checks are
+    one CASE, which it moves as a whole or not at all.
+
     ``observe_as`` counts the violations while the rows pass by: give an
     ``Observation`` for a batch, a name for a stream.
     """
@@ -44,16 +50,23 @@ def apply_expectations(
     if unknown:
         raise ValueError(f"unknown expectation actions: {sorted(unknown)}")
     if observe_as is not None:
-        counts = [F.count_if(~e.holds).alias(e.name) for e in checks]
-        df = df.observe(observe_as, F.count("*").alias("n_rows"), *counts)
+        judged = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+        counts = [F.count_if(judged & ~e.holds).alias(e.name) for e in checks]
+        df = df.observe(observe_as, F.count_if(judged).alias("n_rows"), *counts)
     # Fail checks come first, so that a row due to be dropped can still fail.
+    branches = [(~F.coalesce(where, F.lit(False)), F.lit(False))] if where is not None else []
     for e in checks:
         if e.action == "fail":
-            df = df.filter(demand(e.holds, f"expectation violated: {e.name}"))
+            failed = F.raise_error(F.lit(f"expectation violated: {e.name}")).cast("boolean")
+            branches.append((~e.holds, failed))
+    kept = F.lit(True)
     for e in checks:
         if e.action == "drop":
-            df = df.filter(e.holds)
-    return df
+            kept = kept & e.holds
+    case = F
+    for condition, outcome in branches:
+        case = case.when(condition, outcome)
+    return df.filter(case.otherwise(kept) if branches else kept)
 
 
 def expectation_counts(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:

@@ -6,13 +6,15 @@ on batch and streaming input alike.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions import domains as d
 from tillflow.functions.clock import AsOf, instant
 from tillflow.functions.pos_rules import pos_rules
-from tillflow.functions.reasons import passes, reasons
+from tillflow.functions.reasons import reasons
 from tillflow.sources.schemas import (
     POS_CLEAN,
     POS_FIELDS,
@@ -25,15 +27,19 @@ from tillflow.sources.schemas import (
 REASONS = "error_reason"
 
 
-def decode_pos(payloads: DataFrame, as_of: AsOf = None) -> DataFrame:
+def decode_pos(payloads: DataFrame, as_of: AsOf = None, keep_raw: bool = False) -> DataFrame:
     """JSON payloads in ``value`` (bytes or text) to the bronze columns.
 
-    Payloads that are no JSON object give a row of nulls, so nothing is lost.
+    Payloads that are no JSON object give a row of nulls. Their text is in no
+    field then; ``keep_raw`` adds it as the column ``payload``.
     """
-    record = F.from_json(F.col("value").cast("string"), POS_PAYLOAD)
+    text = F.col("value").cast("string")
+    raw = [text.alias("payload")] if keep_raw else []
     return payloads.select(
-        record.alias("record"), instant(as_of).alias("ingested_time")
-    ).select("record.*", "ingested_time")
+        F.from_json(text, POS_PAYLOAD).alias("record"),
+        instant(as_of).alias("ingested_time"),
+        *raw,
+    ).select("record.*", "ingested_time", *(["payload"] if keep_raw else []))
 
 
 def cast_pos(df: DataFrame) -> DataFrame:
@@ -69,43 +75,25 @@ def flag_pos(df: DataFrame, as_of: AsOf = None) -> DataFrame:
     return cast_pos(df).withColumn(REASONS, reasons(pos_rules(as_of)))
 
 
-def _quarantine_columns(flagged: DataFrame) -> DataFrame:
-    return flagged.withColumn("is_corrupted", F.lit(True)).select(*POS_QUARANTINE.fieldNames())
-
-
 def quarantine(flagged: DataFrame) -> DataFrame:
     """Rows with at least one reason: raw text, reasons, flag."""
-    return _quarantine_columns(flagged.filter(F.size(REASONS) > 0))
-
-
-def quarantine_of_raw(df: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``quarantine(flag_pos(df))``; the list is built for the failing rows only."""
-    rules = pos_rules(as_of)
-    failing = cast_pos(df).filter(~passes(rules))
-    return _quarantine_columns(failing.withColumn(REASONS, reasons(rules)))
+    failing = flagged.filter(F.size(REASONS) > 0).withColumn("is_corrupted", F.lit(True))
+    return failing.select(*POS_QUARANTINE.fieldNames())
 
 
-def _typed(checked: DataFrame) -> DataFrame:
+def _typed(checked: DataFrame, also: Sequence[str]) -> DataFrame:
     """Typed twins under their plain names."""
     fields = [
         F.col(f"{name}_casted").alias(name) if name in POS_TYPES else F.col(name)
         for name in POS_FIELDS
     ]
-    return checked.select(*fields, "ingested_time", "is_late", "ingestion_delay_seconds")
+    return checked.select(*fields, "ingested_time", "is_late", "ingestion_delay_seconds", *also)
 
 
-def valid(flagged: DataFrame) -> DataFrame:
-    """Rows without reasons (an absent list counts as empty), typed."""
+def valid(flagged: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Rows without reasons (an absent list counts as empty), typed; ``also`` keeps more columns."""
     none = F.col(REASONS).isNull() | (F.size(REASONS) == 0)
-    return _typed(flagged.filter(none))
-
-
-def valid_of_raw(df: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``valid(flag_pos(df))`` where the reasons themselves are not wanted.
-
-    The rules become one conjunction whose simple parts reach the file scan.
-    """
-    return _typed(cast_pos(df).filter(passes(pos_rules(as_of))))
+    return _typed(flagged.filter(none), also)
 
 
 def late(checked: DataFrame) -> DataFrame:
@@ -116,17 +104,14 @@ def on_time(checked: DataFrame) -> DataFrame:
     return checked.filter(~F.col("is_late")).select(*POS_CLEAN.fieldNames())
 
 
-def _routes(failed: Column) -> Column:
-    return (
-        F.when(failed, F.lit("quarantine"))
+def with_route(flagged: DataFrame) -> DataFrame:
+    """``route``: which of the three tables the row belongs to."""
+    route = (
+        F.when(F.size(REASONS) > 0, F.lit("quarantine"))
         .when(F.col("is_late"), F.lit("late"))
         .otherwise(F.lit("clean"))
     )
-
-
-def with_route(flagged: DataFrame) -> DataFrame:
-    """``route``: which of the three tables the row belongs to."""
-    return flagged.withColumn("route", _routes(F.size(REASONS) > 0))
+    return flagged.withColumn("route", route)
 
 
 def route_counts(flagged: DataFrame) -> DataFrame:
@@ -134,15 +119,7 @@ def route_counts(flagged: DataFrame) -> DataFrame:
     return with_route(flagged).groupBy("route").agg(F.count("*").alias("n_rows"))
 
 
-def route_counts_of_raw(df: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """``route_counts(flag_pos(df))`` without building any list of reasons."""
-    routed = cast_pos(df).withColumn("route", _routes(~passes(pos_rules(as_of))))
-    return routed.groupBy("route").agg(F.count("*").alias("n_rows"))
-
-
 def to_keyed_json(df: DataFrame, key: str = "transaction_id") -> DataFrame:
     """``key`` and the record as JSON in ``value``; null fields stay in the JSON."""
     record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     return df.select(F.col(key).alias("key"), record.alias("value"))
-
-

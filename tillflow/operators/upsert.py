@@ -7,44 +7,49 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators.expectations import demand
-
 AMBIGUOUS = "upsert: several source rows match one target key"
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str] = ("transaction_id",)
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str] = ("transaction_id",),
+    on_ambiguous: str = "error",
 ) -> DataFrame:
     """Every target row whose key is in the source becomes a copy of that source
     row; source rows of unknown keys are added, all of them; the rest stays.
 
-    Two source rows for one known key end the query. NULL keys match nothing.
+    Two source rows for one known key end the query. ``on_ambiguous`` may name
+    a column instead: then the row with its greatest value is taken, of equal
+    values the greatest by all columns. NULL keys match nothing.
 
-    Skew: the source is reduced to a row per key before its shuffle, so the
-    wide join has at most one partner per target row and adaptive execution
-    can split a hot key on the target side. The known keys are made distinct
-    before they are shuffled. Which side is broadcast is left to Spark's sizes.
+    Only keys are counted and only keys are read again from the target, so the
+    wide join is one. The source is read three times: persist it if it is
+    costly. A key that the target has often is split by adaptive execution,
+    since a source key has one row there or ends the query.
     """
     keys = list(keys)
     columns = target.columns
     incoming = source.select(*columns)
-
-    per_key = incoming.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.first(F.struct(*columns)).alias("_new")
-    )
-    per_key = per_key.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_n", "_new")
+    if on_ambiguous == "error":
+        counts = incoming.groupBy(*keys).agg(F.count("*").alias("_n"))
+        offered = incoming.join(counts, keys).select(
+            *[F.col(k).alias(f"_key_{k}") for k in keys], "_n", F.struct(*columns).alias("_new")
+        )
+    else:
+        newest = F.max(F.struct(F.col(on_ambiguous).alias("_order"), *columns)).alias("_new")
+        offered = incoming.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
+            newest, F.lit(1).alias("_n")
+        )
     same_key = [F.col(k) == F.col(f"_key_{k}") for k in keys]
-    matched = target.join(per_key, same_key, "left").filter(
-        demand(F.col("_n").isNull() | (F.col("_n") == 1), AMBIGUOUS)
+    matched = target.join(offered, same_key, "left")
+    # In the projection, not in a filter: the optimizer cannot move it anywhere else.
+    new = F.when(F.col("_n") > 1, F.raise_error(F.lit(AMBIGUOUS)).cast("boolean")).otherwise(
+        F.col("_n").isNotNull()
     )
     kept = matched.select(
-        *[
-            F.when(F.col("_n").isNull(), F.col(c)).otherwise(F.col(f"_new.{c}")).alias(c)
-            for c in columns
-        ]
+        *[F.when(new, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     )
-
-    offered = incoming.select(*keys).distinct()
-    known = target.select(*keys).join(offered, keys, "left_semi").distinct()
+    known = target.select(*keys).distinct()
     added = incoming.join(known, keys, "left_anti").select(*columns)
     return kept.unionByName(added)

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.functions.domains import REPLACEMENT_CHARACTER
+from tillflow.functions import domains as d
 
 AS_OF = "2026-01-01 00:00:00"
 HISTORY_ENDS = "1999-01-01 00:00:00"
-GARBLED = "A%7ZQ1" + REPLACEMENT_CHARACTER
+GARBLED = "Q#42" + d.REPLACEMENT_CHARACTER
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +32,17 @@ def _faulty(column: Column, replacements: dict[int, str | None]) -> Column:
 
 
 def _code(prefix: str, number: str, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.expr(number).cast("string"), width, "0"))
+    """The number with leading zeros up to the width; longer numbers stay whole."""
+    return F.format_string(f"{prefix}%0{width}d", F.expr(number).cast("bigint"))
+
+
+def _computed_once(df: DataFrame) -> DataFrame:
+    """The rows behind a node that filters and projections don't pass.
+
+    Otherwise the optimizer copies the nested cases of a column into each rule
+    that reads it.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def _pick(number: str, texts: tuple[str, ...]) -> Column:
@@ -69,8 +79,8 @@ def pos_of_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
         _faulty(
             event_time,
             {
-                2: "2026-13-45T99:99:99Z",
-                3: "07/01/2026 2:32 PM",
+                2: "2025-19-39T77:00:00Z",
+                3: "July 1st, half past two",
                 4: "",
                 5: "1970-01-01T00:00:00.000Z",
                 17: "2199-01-01T00:00:00.000Z",
@@ -93,17 +103,17 @@ def pos_of_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
         _faulty(
             _pick(
                 "(row_hash div 7) % 5",
-                ("CREDIT_CARD", "DEBIT_CARD", "CASH", "MOBILE_WALLET", "GIFT_CARD"),
+                d.PAYMENT_TYPES,
             ),
-            {12: "UNKNOWN", 13: ""},
+            {12: "BARTER", 13: ""},
         ).alias("payment_type"),
-        _pick("l_suppkey % 6", ("USD", "CAD", "GBP", "EUR", "EUR", "AUD")).alias("currency"),
+        _pick("l_suppkey % 6", tuple(d.CURRENCY_OF_COUNTRY[c] for c in d.COUNTRIES)).alias("currency"),
         _faulty(
-            _pick("l_suppkey % 6", ("US", "CA", "GB", "DE", "FR", "AU")), {25: "??"}
+            _pick("l_suppkey % 6", d.COUNTRIES), {25: "XX"}
         ).alias("country"),
         _faulty(
-            _pick("row_hash % 4", ("IN_STORE", "ONLINE", "KIOSK", "MOBILE_APP")),
-            {26: "LEGACY_CODE_7"},
+            _pick("row_hash % 4", d.CHANNELS),
+            {26: "FAX"},
         ).alias("channel"),
         _faulty(_code("STORE-", "l_suppkey % 20 + 1", 3), {27: "STORE-021"}).alias("store_id"),
         _faulty(_code("TERM-", "l_suppkey % 100", 2), {28: "TERM-1"}).alias("terminal_id"),
@@ -112,7 +122,9 @@ def pos_of_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pos_of_lines(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+    """Customer ids have five digits up to 99,999; longer ones are faulty, as they should be."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return _computed_once(pos_of_lines(lines, orders))
 
 
 def cust_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +144,7 @@ def cust_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.substring("o_orderpriority", 1, 1),
     )
-    return changes.select(
+    return _computed_once(changes.select(
         "fault",
         _faulty(_code("CUST-", "o_custkey", 5), {0: None}).alias("customer_id"),
         _faulty(F.concat(F.lit("First"), custkey), {1: None, 2: "  "}).alias("first_name"),
@@ -169,4 +181,4 @@ def cust_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("ingestion_time"),
         F.col("o_orderkey").alias("change_id"),
         F.lit(None).cast("string").alias("_rescued_data"),
-    )
+    ))

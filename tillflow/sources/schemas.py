@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)
 
+# The keys of the point-of-sale records.
 POS_FIELDS = (
     "transaction_id",
     "item_sequence",
@@ -28,6 +29,7 @@ POS_FIELDS = (
 POS_OPTIONAL = ("customer_id",)
 
 # Typed fields, in the order in which their format rules report.
+# Fixed values as well: the types of the tables.
 POS_TYPES = {
     "item_unit_price": MONEY,
     "item_quantity": MONEY,
@@ -65,6 +67,7 @@ POS_LATE = T.StructType(
     ]
 )
 
+# The columns of the customer files.
 CUSTOMER_FIELDS = (
     "customer_id",
     "first_name",
