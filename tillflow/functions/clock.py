@@ -3,14 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# An offset or a zone after the time of day.
-_OFFSET = re.compile(r":\d{2}(\.\d+)?\s*(Z|[+-]\d{1,2}(:?\d{2})?|UTC|GMT|[A-Za-z]+/\w+)\s*$")
-
 AsOf = Column | str | dt.datetime | None
 
 
@@ -27,10 +23,12 @@ def instant(as_of: AsOf = None) -> Column:
     """
     if as_of is None:
         return F.current_timestamp()
+    if isinstance(as_of, str):
+        try:
+            as_of = dt.datetime.fromisoformat(as_of.strip())
+        except ValueError:  # with the name of a zone, for instance
+            return F.lit(as_of).cast("timestamp")
     if isinstance(as_of, dt.datetime):
         zoned = as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)
         return F.lit(zoned.isoformat()).cast("timestamp")
-    if isinstance(as_of, str):
-        zoned = as_of if _OFFSET.search(as_of) else f"{as_of} UTC"
-        return F.lit(zoned).cast("timestamp")
     return as_of.cast("timestamp")
