@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tillflow.functions.clock import AsOf, instant, use_utc
+from tillflow.functions.clock import AsOf, use_utc
 from tillflow.operators import contracts as c
 from tillflow.operators.pos import (
     decode_pos,
@@ -66,7 +67,8 @@ def route_batch(batch: DataFrame, batch_id: int, config: PosConfig) -> dict[str,
     of it; kept rows that are lost with an executor are computed again. Each
     sink takes a repeated batch as the same batch.
     """
-    now = config.as_of if config.as_of is not None else _moment(batch.sparkSession)
+    # One moment for all reads of the batch.
+    now = config.as_of if config.as_of is not None else dt.datetime.now(dt.timezone.utc)
     flagged = flag_pos(with_lateness(batch), now).persist()
     try:
         counts = {r["route"]: r["n_rows"] for r in route_counts(flagged).collect()}
@@ -83,11 +85,6 @@ def route_batch(batch: DataFrame, batch_id: int, config: PosConfig) -> dict[str,
         flagged.unpersist()
 
 
-def _moment(spark: SparkSession) -> str:
-    """The present moment as text, so that all reads of a batch use the same."""
-    return spark.range(1).select(instant().cast("string")).first()[0]
-
-
 def start_bronze(spark: SparkSession, config: PosConfig) -> StreamingQuery:
     payloads = read_payloads(spark, config.payload_format, config.payload_options)
     rows = decode_pos(payloads, config.as_of)
