@@ -70,15 +70,19 @@ def _terms(text_col: str):
 
 
 def passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``id``, ``passage``): the different lines with a cue in each document."""
+    """(``id``, ``passage``, ``text``): the different lines with a cue in each document.
+
+    ``passage`` is a digest of the line, so that long lines are not repeated
+    with each of their terms.
+    """
     has_cue = F.lower(text_of(text_col)).rlike(CUES)
     lines = F.filter(
         F.split(text_of(text_col), "\n", -1), lambda line: F.lower(line).rlike(CUES)
     )
     found = docs.filter(has_cue).select(
-        F.col(id_col).alias("id"), F.explode(F.array_distinct(lines)).alias("passage")
+        F.col(id_col).alias("id"), F.explode(F.array_distinct(lines)).alias("text")
     )
-    return found
+    return found.select("id", F.unhex(F.md5("text")).alias("passage"), "text")
 
 
 def match(found: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -91,14 +95,14 @@ def match(found: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -
         [(i, name, text) for i, (name, text) in enumerate(templates)],
         "template int, license string, text string",
     )
-    units = found.groupBy("passage").agg(F.count("*").alias("n"))
+    units = found.groupBy("passage").agg(F.count("*").alias("n"), F.first("text").alias("text"))
     terms = stored(
-        units.select("passage", "n", F.explode(_terms("passage")).alias("term"))
+        units.select("passage", "n", F.explode(_terms("text")).alias("term"))
         .groupBy("passage", "n", "term")
         .agg(F.count("*").alias("tf")),
         "license-terms",
     )
-    total = (units.agg(F.sum("n")).first()[0] or 0) + len(templates)
+    total = found.count() + len(templates)
     wanted = (
         given.select("template", "license", F.explode(_terms("text")).alias("term"))
         .groupBy("template", "license", "term")
@@ -179,7 +183,7 @@ def license_scan(
       of its own. An empty table gives no rows. Other columns are not looked at.
     """
     found = stored(passages(docs, id_col, text_col), "license-passages")
-    matched = found.join(match(found, templates, threshold), "passage")
+    matched = found.drop("text").join(match(found, templates, threshold), "passage")
     own = stored(
         matched.groupBy("id")
         .agg(F.max(F.struct("score", "license")).alias("best"))
