@@ -183,7 +183,9 @@ def license_scan(
       of its own. An empty table gives no rows. Other columns are not looked at.
     """
     found = stored(passages(docs, id_col, text_col), "license-passages")
-    matched = found.drop("text").join(match(found, templates, threshold), "passage")
+    # A notice may stand in a third of all documents: a stored side lets the join split it.
+    nearest_template = stored(match(found, templates, threshold), "license-matched")
+    matched = found.drop("text").join(nearest_template, "passage")
     own = stored(
         matched.groupBy("id")
         .agg(F.max(F.struct("score", "license")).alias("best"))

@@ -240,7 +240,8 @@ def quality_rules(
     )
     limits = [f"{side}_{name}" for name in RATES for side in ("low", "high")]
     usable = (F.col("docs") >= min_group) | (F.col("level") == 2)
-    chosen = (
+    # Stored, so that the join below can split a language and source with a third of all rows.
+    chosen = stored(
         groups.join(
             bounds,
             (F.col("w.level") == F.col("level"))
@@ -249,7 +250,8 @@ def quality_rules(
         )
         .filter(usable)
         .groupBy("g_lang", "g_source")
-        .agg(F.min_by(F.struct(*limits), "level").alias("fence"))
+        .agg(F.min_by(F.struct(*limits), "level").alias("fence")),
+        "quality-chosen",
     )
     judged = counts.join(
         chosen,
