@@ -1,4 +1,4 @@
-"""One query per operator over the whole of its table, and SQL where SQL can say it."""
+"""One query per operator over the whole of its table."""
 
 from __future__ import annotations
 
@@ -130,33 +130,3 @@ QUERIES = {
         op10_sharding,
     )
 }
-
-_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-ORACLES = {
-    "op1_exact_dedup": f"""
-        with t as (select doc_id, {_LOWER.format("coalesce(text, '')")} as text from documents)
-        select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
-            doc_id = max(doc_id) over w as kept, sha256(text) as text_sha256
-        from t window w as (partition by text)
-    """,
-    "op2_line_dedup": f"""
-        with split as (
-            select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
-        each as (
-            select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from split),
-        keyed as (
-            select *, {_LOWER.format("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} as key
-            from each),
-        counted as (
-            select key, count(distinct doc_id) as n, max(doc_id) as last from keyed
-            where length(key) >= 40 group by key),
-        decided as (
-            select k.*, coalesce(c.n >= 5 and k.doc_id <> c.last, false) as gone
-            from keyed k left join counted c using (key))
-        select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
-            sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), ''))
-                as kept_sha256
-        from decided group by doc_id
-    """,
-}
