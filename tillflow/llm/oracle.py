@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tillflow.llm.license_scan import CUES, TEMPLATES, TERM, THRESHOLD
+
 
 def _lower(text: str) -> str:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -133,9 +135,66 @@ QUALITY = rf"""
         not base_failed and not coalesce(rejected, false) as kept
     from base left join judged using (doc_id)"""
 
+_TEMPLATES = ", ".join(
+    f"({i}, '{name}', '{text.lower()}')" for i, (name, text) in enumerate(TEMPLATES)
+)
+
+LICENSES = rf"""
+    with d as (
+        select doc_id, text, concat_ws('/', source, doc_id // 4096, doc_id // 64) as directory,
+            coalesce(len({_WORDS.format("text")}) <= 100 and regexp_matches(lower(text), '{CUES}'),
+                false) as is_file
+        from documents),
+    found as (
+        select distinct doc_id, line from (
+            select doc_id, unnest(string_split(text, chr(10))) as line from d) x
+        where regexp_matches(lower(line), '{CUES}')),
+    unit as (select line, count(*) as n from found group by line),
+    template(t, license, body) as (values {_TEMPLATES}),
+    term as (
+        select line, n, w, count(*) as tf from (
+            select line, n, unnest(regexp_extract_all(lower(line), '{TERM}')) as w from unit) x
+        group by all),
+    wanted as (
+        select t, license, w, count(*) as tf from (
+            select t, license, unnest(regexp_extract_all(body, '{TERM}')) as w from template) x
+        group by all),
+    idf as (
+        select w, ln((1.0 + (select count(*) from found) + {len(TEMPLATES)}) / (1.0 + sum(n))) + 1.0
+            as idf
+        from (select w, n from term union all select w, 1 from (select distinct t, w from wanted)) x
+        group by w),
+    p as (select line, w, tf * idf as x from term join idf using (w)),
+    q as (select t, license, w, tf * idf as y from wanted join idf using (w)),
+    score as (
+        select line, license, round(sum(x * y) / (any_value(pn) * any_value(qn)), 9) as score
+        from p join q using (w)
+            join (select line, sqrt(sum(x * x)) as pn from p group by line) a using (line)
+            join (select t, sqrt(sum(y * y)) as qn from q group by t) b using (t)
+        group by line, t, license),
+    best as (
+        select line, license, score from score
+        qualify row_number() over (partition by line order by score desc, license desc) = 1),
+    own as (
+        select doc_id, license, score from found join best using (line) where score >= {THRESHOLD}
+        qualify row_number() over (partition by doc_id order by score desc, license desc) = 1),
+    file as (
+        select directory, license, score from d join own using (doc_id) where is_file
+        qualify row_number() over (partition by directory order by score desc, license desc) = 1),
+    near as (
+        select d.doc_id, f.directory, f.license, f.score
+        from (select distinct doc_id, directory from d) d join file f
+            on d.directory = f.directory or starts_with(d.directory, f.directory || '/')
+        qualify row_number() over (partition by d.doc_id order by length(f.directory) desc) = 1)
+    select d.doc_id, coalesce(o.license, n.license) as license, coalesce(o.score, n.score) as score,
+        o.license is not null as own, case when o.license is null then n.directory end
+            as from_directory
+    from d left join own o using (doc_id) left join near n using (doc_id)"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT,
     "op2_line_dedup": LINES,
+    "op4_license_scan": LICENSES,
     "op7_jaccard_join": JOIN,
     "op8_quality_rules": QUALITY,
 }
