@@ -54,6 +54,9 @@ def test_runs_go_on_where_the_last_one_ended(spark, pos):
     pos_job.run_pos(spark, config)
     # Known ids are replaced, unknown ones are added, repeated or not.
     assert clean_of(spark, config) == {("TXN-1", "9.00"): 1, ("TXN-4", "2.00"): 2}
+    pruned = sinks.prune_versions(spark, config.path("cleaned"))
+    assert pruned >= 1 and sinks.prune_versions(spark, config.path("cleaned")) == 0
+    assert clean_of(spark, config) == {("TXN-1", "9.00"): 1, ("TXN-4", "2.00"): 2}
     bad = sinks.read_appended(spark, config.path("quarantined"), c.POS_QUARANTINED.schema)
     assert Counter(len(r["error_reason"]) for r in bad.collect()) == {1: 1, 14: 1}
     late = sinks.read_appended(spark, config.path("late"), c.POS_LATE_ARRIVALS.schema)

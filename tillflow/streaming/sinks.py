@@ -108,6 +108,23 @@ def write_keyed(
     after.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{path}/v={batch_id}")
 
 
+def prune_versions(spark: SparkSession, path: str) -> int:
+    """Deletes the bucket folders that a newer finished version has replaced; how many.
+
+    For quiet hours: a reader that listed the folders before may still want them.
+    """
+    current = set(_versions(spark, path).values())
+    newest = max((int(f.rsplit("v=", 1)[1].split("/")[0]) for f in current), default=-1)
+    gone = 0
+    for folder in _glob(spark, f"{path}/v=*/{_BUCKET}=*"):
+        version = int(folder.rsplit("v=", 1)[1].split("/")[0])
+        if folder not in current and version <= newest:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            gone += bool(system.delete(where, True))
+    return gone
+
+
 def upsert_sink(
     df: DataFrame, path: str, batch_id: int, contract: Contract, keys: Sequence[str]
 ) -> None:
