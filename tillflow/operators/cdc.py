@@ -115,19 +115,16 @@ def apply_scd2(
     all changes again, so a history kept with ``track_cols`` has only the
     changes that opened a version; late changes are placed among these.
 
-    Keys without changes keep their versions unread. Rows without a sequence
-    cannot be placed and are left out. ``stretch`` bounds the work of a task
-    and never changes the result.
+    The history is read once and joined with nothing; give the part of it whose
+    keys may have changed, as ``streaming.sinks.write_keyed`` does. Rows
+    without a sequence cannot be placed and are left out. ``stretch`` bounds
+    the work of a task and never changes the result.
     """
     columns = [c for c in changes.columns if c not in except_cols]
     keys = list(keys)
     rows = changes.select(*columns)
-    untouched = None
     if history is not None:
-        touched = rows.select(*[F.col(k).alias(f"_t_{k}") for k in keys]).distinct()
-        same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
-        untouched = history.join(touched, same, "left_anti")
-        rows = rows.unionByName(history.join(touched, same, "left_semi").select(*columns))
+        rows = history.select(*columns).unionByName(rows)
     rows = _greatest_row(
         rows.filter(F.col(sequence_by).isNotNull()), [*keys, sequence_by], tie_break, columns
     )
@@ -137,7 +134,6 @@ def apply_scd2(
         compared = _beside(rows, keys, sequence_by, cut, tracked, False, "_before")
         differs = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(tracked)
         rows = compared.filter(differs).select(*columns)
-    versions = _beside(rows, keys, sequence_by, cut, F.col(sequence_by), True, VALID_TO).select(
+    return _beside(rows, keys, sequence_by, cut, F.col(sequence_by), True, VALID_TO).select(
         *columns, F.col(sequence_by).alias(VALID_FROM), VALID_TO
     )
-    return versions if untouched is None else untouched.unionByName(versions)
