@@ -70,26 +70,23 @@ def _beside(
     name: str,
 ) -> DataFrame:
     """``name``: ``value`` of the next (or the last) row of the key's whole timeline."""
-    cut = rows.withColumn("_value", value).withColumn("_stretch", stretch)
-    inside = W.partitionBy(*keys, "_stretch").orderBy(sequence)
-    edge = F.min_by if forward else F.max_by
-    edges = cut.groupBy(*keys, "_stretch").agg(edge("_value", sequence).alias("_edge"))
+    # As a struct, keys with NULLs in them are equal, and the join needs no other partitioning
+    # than the window has.
+    cut = rows.withColumns({"_key": F.struct(*keys), "_value": value, "_stretch": stretch})
+    inside = W.partitionBy("_key", "_stretch").orderBy(sequence)
+    edge, step = (F.min_by, F.lead) if forward else (F.max_by, F.lag)
+    edges = cut.groupBy("_key", "_stretch").agg(edge("_value", sequence).alias("_edge"))
     # A row per key and stretch: as many as the time spans, however many changes there are.
-    along = W.partitionBy(*keys).orderBy("_stretch")
-    step, counted = (F.lead, "_edge") if forward else (F.lag, "_edge")
-    edges = edges.select(
-        *[F.col(k).alias(f"_edge_{k}") for k in keys],
-        F.col("_stretch").alias("_edge_stretch"),
-        step(counted).over(along).alias("_over"),
-    )
+    along = W.partitionBy("_key").orderBy("_stretch")
+    edges = edges.select("_key", "_stretch", step("_edge").over(along).alias("_over"))
     near = cut.select(
         *rows.columns,
+        "_key",
         "_stretch",
         step("_value").over(inside).alias("_near"),
         (step(F.lit(1)).over(inside)).isNull().alias("_at_edge"),
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_edge_{k}")) for k in keys]
-    met = near.join(edges, [*same, F.col("_stretch") == F.col("_edge_stretch")])
+    met = near.join(edges, ["_key", "_stretch"])
     return met.select(
         *rows.columns,
         F.when(F.col("_at_edge"), F.col("_over")).otherwise(F.col("_near")).alias(name),
