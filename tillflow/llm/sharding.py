@@ -97,8 +97,10 @@ def shard_by_bytes(
         .cast("int")
         .alias("parts"),
     )
+    # A row per range, at most twice as many as asked for: small enough to broadcast at any
+    # size of the input, so that a text with a third of all rows is not gathered.
     placed = stored(
-        ranged.join(parts, "range").withColumn(
+        ranged.join(F.broadcast(parts), "range").withColumn(
             "part",
             F.when(F.col("parts") == 1, 0)
             .otherwise(F.pmod(F.xxhash64("id", F.lit(11)), F.col("parts")))
@@ -109,7 +111,8 @@ def shard_by_bytes(
     fine = placed.groupBy("range", "part").agg(
         F.sum("size").alias("bytes"), F.count("*").alias("n")
     )
-    # One row per part of a range: their number is bounded by the parameters.
+    # One row per part of a range. The parts of a range are its bytes by the mean, so all
+    # together are at most twice the ranges and one for each: bounded by the parameters.
     order = W.orderBy("range", "part")
     before = F.coalesce(
         F.sum("bytes").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
@@ -128,7 +131,7 @@ def shard_by_bytes(
     )
     inside = W.partitionBy("range", "part").orderBy("key", "id", "size", "crc")
     numbered = placed.withColumn("place", F.row_number().over(inside) - 1)
-    return numbered.join(laid, ["range", "part"]).select(
+    return numbered.join(F.broadcast(laid), ["range", "part"]).select(
         F.col("id").alias(id_col),
         "size",
         F.col("crc").alias("text_crc32"),
