@@ -24,6 +24,8 @@ def test_round_trip_of_edges(spark):
     docs = edge_docs(spark)
     encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
     found = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).collect()
+    at_once = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted(map(str, at_once)) == sorted(map(str, found))
     expected = sorted(
         (text or "").encode() for _, text, *_ in edge_rows()
     )

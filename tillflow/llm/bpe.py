@@ -174,3 +174,35 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_
     return packed.mapInArrow(
         run, f"id {kind}, n_tokens bigint, ids binary, decoded binary"
     ).withColumnRenamed("id", id_col)
+
+
+def round_trip(
+    docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``decode(encode(docs))`` by one Python worker for each task instead of two."""
+    spark = docs.sparkSession
+    ranks = spark.sparkContext.broadcast(read_ranks(rank_file))
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        encoding = _encoding(ranks, pattern)
+
+        def rows(batch):
+            for key, text in zip(batch["id"].to_pylist(), batch["text"]):
+                ids = encode_text(encoding, text.as_py())
+                yield {
+                    "id": key,
+                    "n_tokens": len(ids),
+                    "ids": np.asarray(ids, dtype="<u4").tobytes(),
+                    "decoded": encoding.decode_bytes(ids),
+                }
+
+        for batch in batches:
+            fields = [("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())]
+            schema = pa.schema([batch.schema.field("id"), *fields])
+            yield from _batches(rows(batch), schema, "ids")
+
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return texts.mapInArrow(
+        run, f"id {kind}, n_tokens bigint, ids binary, decoded binary"
+    ).withColumnRenamed("id", id_col)

@@ -43,7 +43,7 @@ SECOND = 4  # one node in so many is split by a second value
 STUCK = 0.75  # a bucket with this part of the one above is not split again
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 4_000_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 COLUMNS = 1 << 14
 
 _MULTIPLIERS = np.array(

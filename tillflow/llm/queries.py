@@ -58,9 +58,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_round_trip(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, path, public_tokenizers.PATTERN)
-    return decoded.select(
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
