@@ -108,6 +108,17 @@ def test_edges(spark):
     assert {r["n_known"] for r in nobody} == {0} and {r["train_tokens"] for r in nobody} == {0}
 
 
+def test_rare_ngrams_have_histories_at_every_size(spark):
+    """Two occurrences are enough, however many other tokens there are."""
+    rows = [(i, "x " * 10_000, True) for i in range(30)]
+    rows += [(100, "p q r s", True), (101, "p q r t", True), (102, "p q r", False)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, t boolean").repartition(3)
+    found = lm_scores(docs, F.col("t"))
+    compare(found, by_force(rows, 0.0, 0.0))
+    last = found.filter("doc_id = 102").first()
+    assert last["score"] > last["base_score"] + 5
+
+
 def test_held_out_texts_are_better_than_unigrams(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     found = lm_scores(docs, id_residue("doc_id", 10) != 0).filter("not trained")

@@ -3,25 +3,23 @@
 Word n-grams up to order three, smoothed by absolute discounting over the
 add-0.1 unigrams, become the states and arcs of an automaton: a state is a
 history, an arc reads a word and has its probability, and a failure arc leads
-to the next shorter history at the cost of its backoff weight. A text is read
-once from left to right with the state carried along.
-
-Two sizes of things. Every word of the corpus counts, and the number of
-different words grows without bound: words are counted and looked up by
-shuffles, never broadcast. A task numbers the words of a block of its texts
-and writes the texts as numbers, so a word moves once per block, not once per
-occurrence, and the texts move as packed numbers. Histories of several words
-are kept where an n-gram makes up a millionth of all training tokens or more
-(words in them: a hundred-thousandth). At most 1 / share n-grams can do so,
-which is a proven bound for the automaton that is broadcast. The others' mass
-is not lost: it goes into the backoff weights, and all histories sum to one.
+to the next shorter history at the cost of its backoff weight.
+
+Everything grows with the corpus: words and n-grams without bound, so nothing
+of the model is gathered or broadcast. Each n-gram that occurs twice or more
+is kept; singletons go into the backoff weights, and all histories sum to one.
+A task numbers the words of a block of its texts and writes the texts as
+numbers. The distinct words, then the distinct n-grams of a block are counted
+by a shuffle, a row per block and n-gram, and those kept come back to their
+block with count and backoff weight: the block's part of the automaton. An
+n-gram is sent only if both its parts are kept, since it is never more
+frequent than they are.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -33,13 +31,17 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import stored, text_of
 
-WORD_SHARE = 1e-5
-GRAM_SHARE = 1e-6
+# No share of the corpus is asked of a history: MIN_COUNT alone decides.
+WORD_SHARE = 0.0
+GRAM_SHARE = 0.0
+MIN_COUNT = 2.0
 ORDER = 3
 ADDED = 0.1
 DISCOUNT = 0.5
 BLOCK_BYTES = 16 << 20
-FLUSH = 400_000
+ROWS = 100_000
+# Stands for the order of a block's texts, which come after all n-grams.
+TEXTS = 1 << 30
 
 # Not words, since they are blanks: the end and the start of a text.
 END = b"\n"
@@ -65,6 +67,8 @@ def _unpack(packed: bytes) -> np.ndarray:
 def _blocked(rows: DataFrame, kind: str) -> DataFrame:
     """Blocks of texts as numbers (``ids``) and the words of each block (``word``).
 
+    Word 0 is the start, used once by each text to learn from.
+
     A block is a stretch of one task's rows, so its number, made of the task's
     and a counter, is the same when a lost task runs again.
     """
@@ -73,13 +77,13 @@ def _blocked(rows: DataFrame, kind: str) -> DataFrame:
         schema = None
         task = TaskContext.get().partitionId()
         block, held_bytes = task << 20, 0
-        number: dict[bytes, int] = {}
+        number: dict[bytes, int] = {START: 0}
         uses = np.zeros(1 << 16, np.int64)
 
         def words() -> Iterator[pa.RecordBatch]:
             names = list(number)
-            for lo in range(0, len(names), 100_000):
-                part = names[lo : lo + 100_000]
+            for lo in range(0, len(names), ROWS):
+                part = names[lo : lo + ROWS]
                 n = len(part)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -108,17 +112,18 @@ def _blocked(rows: DataFrame, kind: str) -> DataFrame:
                     uses = np.concatenate([uses, np.zeros(2 * len(number), np.int64)])
                 if train:
                     np.add.at(uses, ids, 1)
+                    uses[0] += 1
                 held_bytes += 8 * len(tokens)
                 out.append((block, key, train, len(tokens), _pack(ids)))
                 if held_bytes > BLOCK_BYTES:
                     yield _texts(out, schema)
                     yield from words()
-                    out, number, held_bytes = [], {}, 0
+                    out, number, held_bytes = [], {START: 0}, 0
                     uses = np.zeros(1 << 16, np.int64)
                     block += 1
             if out:
                 yield _texts(out, schema)
-        if number:
+        if len(number) > 1:
             yield from words()
 
     return rows.mapInArrow(
@@ -145,174 +150,213 @@ def _texts(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-class Automaton(NamedTuple):
-    """State 0 is the empty history. ``arcs`` is keyed by state * width + word."""
-
-    width: int
-    words: dict[bytes, int]
-    arcs: dict[int, tuple[float, int]]
-    backoff: list[float]
-    fail: list[int]
-    drop: list[float]
-    after: list[int]
-    start: int
-
-
-def _gram_counts(rows: DataFrame, words: dict[bytes, int], kept: list[np.ndarray]) -> DataFrame:
-    """Counts of the n-grams one longer than ``kept[-1]`` whose both parts are kept.
-
-    An n-gram is never more frequent than its parts, so no frequent one is
-    missed. Its code is the place of its first part in ``kept[-1]`` times the
-    number of words, plus its last word. ``kept[0]`` is the words themselves.
-    """
-    shared = rows.sparkSession.sparkContext.broadcast((words, kept))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, levels = shared.value
-        width = len(known)
-        held: list[np.ndarray] = []
-        size = 0
-
-        def settle() -> pa.RecordBatch:
-            codes, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], names=["code", "n"]
-            )
-
-        def find(sorted_codes: np.ndarray, codes: np.ndarray) -> np.ndarray:
-            """Place of each code, -1 where it isn't kept."""
-            if not len(sorted_codes):
-                return np.full(len(codes), -1)
-            at = np.minimum(np.searchsorted(sorted_codes, codes), len(sorted_codes) - 1)
-            return np.where((codes >= 0) & (sorted_codes[at] == codes), at, -1)
-
-        for batch in batches:
-            for text in batch["text"]:
-                tokens = [START, *tokens_of(text.as_py())]
-                ids = np.fromiter((known.get(w, -1) for w in tokens), np.int64, len(tokens))
-                places = ids
-                for level in levels[1:]:
-                    last = ids[len(ids) - len(places) + 1 :]
-                    both = (places[:-1] >= 0) & (last >= 0)
-                    places = find(level, np.where(both, places[:-1] * width + last, -1))
-                # Both parts: the n-gram without its last and without its first word.
-                last = ids[len(ids) - len(places) + 1 :]
-                good = (places[:-1] >= 0) & (places[1:] >= 0) & (last >= 0)
-                codes = places[:-1][good] * width + last[good]
-                held.append(codes)
-                size += len(codes)
-            if size > 4 * FLUSH:
-                yield settle()
-                size = 0
-        if held:
-            yield settle()
-
-    counted = rows.filter("train").select("text").mapInArrow(run, "code bigint, n bigint")
-    return counted.groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def build_automaton(
-    words: list[tuple[bytes, int]], grams: list[dict[int, int]], denominator: float
-) -> Automaton:
-    """The automaton of words and n-grams with their counts.
-
-    ``words`` are sorted by number; ``grams[k]`` has the n-grams of order
-    k + 2 by code, in the order of the codes.
+class Grams:
+    """The kept n-grams of one order in a block by their number there; words are order one."""
+
+    def __init__(self) -> None:
+        self.parts: list[list[np.ndarray]] = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        names = ("number", "gram", "n", "drop")
+        self.parts.append([batch[name].to_numpy(zero_copy_only=False) for name in names])
+
+    def table(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number in the corpus (-1: not kept), count and log10 backoff weight."""
+        gram, n, drop = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
+        for number, *columns in self.parts:
+            for to, column in zip((gram, n, drop), columns):
+                to[number] = column
+        return gram, n, drop
+
+
+class Level(NamedTuple):
+    """``place`` has the n-gram that ends at each word, by its number in the block, or -1."""
+
+    place: np.ndarray
+    gram: np.ndarray
+    n: np.ndarray
+    drop: np.ndarray
+    chance: np.ndarray
+
+
+class Block:
+    """Texts and their part of the automaton."""
+
+    def __init__(self) -> None:
+        self.grams: dict[int, Grams] = {}
+        self.texts: list[tuple] = []
+
+    def row(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' words in one row, each text after a start; where the starts are; which
+        words are to learn from."""
+        words, train, sizes = [], [], []
+        for _, trained, packed in self.texts:
+            ids = _unpack(packed)
+            words += [np.zeros(1, np.uint32), ids]
+            train.append(np.full(len(ids) + 1, trained))
+            sizes.append(len(ids) + 1)
+        starts = np.cumsum([0, *sizes[:-1]])
+        return np.concatenate(words).astype(np.int64), starts, np.concatenate(train)
+
+    def levels(self, words: np.ndarray, order: int, denominator: float) -> list[Level]:
+        size = int(words.max()) + 1
+        gram, n, drop = self.grams.get(1, Grams()).table(size)
+        place = np.where(gram[words] >= 0, words, -1)
+        found = [Level(place, gram, n, drop, (n + ADDED) / denominator)]
+        for k in range(2, order + 1):
+            codes, numbers, at = _longer(found[-1].place, words)
+            gram, n, drop = self.grams.get(k, Grams()).table(len(codes))
+            of_history = np.maximum(1, found[-1].n[codes // size])
+            place = np.full(len(words), -1)
+            place[at] = np.where(gram[numbers] >= 0, numbers, -1)
+            found.append(Level(place, gram, n, drop, (n - DISCOUNT) / of_history))
+        return found
+
+
+def _longer(place: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different n-grams one longer than those at ``place`` whose both parts are kept.
+
+    Returns their codes in order, and for each position where one ends the
+    place of its code and the position. Equal texts and parts give equal places.
     """
-    width = len(words)
-    index = {word: i for i, (word, _) in enumerate(words)}
-    count_of = [n for _, n in words]
-    unigram = [(n + ADDED) / denominator for n in count_of]
-    # States: a word (1 + its number), then the n-grams that begin a longer one.
-    fail, backoff = [0] * (width + 1), [0.0] * (width + 1)
-    arcs: dict[int, tuple[float, int]] = {}
-    chance: dict[tuple[int, ...], float] = {(i,): p for i, p in enumerate(unigram)}
-    state = {(i,): i + 1 for i in range(width)}
-    names: list[list[tuple[int, ...]]] = [[(i,) for i in range(width)]]
-    counts: dict[tuple[int, ...], int] = {(i,): n for i, n in enumerate(count_of)}
-    for level in grams:
-        names.append([names[-1][code // width] + (code % width,) for code in level])
-        counts.update(zip(names[-1], level.values()))
-    for level in names[1:]:
-        for gram in level:
-            history = gram[:-1]
-            if history not in state:
-                state[history] = len(fail)
-                fail.append(0)
-                backoff.append(0.0)
-    for history, s in state.items():
-        fail[s] = state.get(history[1:], 0) if len(history) > 1 else 0
-
-    def lower(gram: tuple[int, ...]) -> float:
-        """Probability of the last word after a history that is one shorter."""
-        if len(gram) == 1:
-            return unigram[gram[0]]
-        if gram in chance:
-            return chance[gram]
-        s = state.get(gram[:-1], 0)
-        return math.pow(10.0, backoff[s]) * lower(gram[1:])
-
-    for level in names[1:]:
-        seen: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
-        for gram in level:
-            seen.setdefault(gram[:-1], []).append(gram)
-        for history, grams_of in seen.items():
-            given = rest = 0.0
-            for gram in grams_of:
-                chance[gram] = (counts[gram] - DISCOUNT) / counts[history]
-                given += chance[gram]
-                rest += lower(gram[1:])
-            weight = max(1e-12, 1.0 - given) / max(1e-12, 1.0 - rest)
-            backoff[state[history]] = math.log10(weight)
-    for level in names[1:]:
-        for gram in level:
-            target = gram
-            while target not in state:
-                target = target[1:]
-            arcs[state[gram[:-1]] * width + gram[-1]] = (math.log10(chance[gram]), state[target])
-    drop = [0.0] * len(fail)
-    for s in sorted(range(1, len(fail)), key=lambda s: len_of(s, fail)):
-        drop[s] = backoff[s] + drop[fail[s]]
-    return Automaton(
-        width, index, arcs, backoff, fail, drop, list(range(1, width + 1)), index[START] + 1
+    at = 1 + np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0) & (words[1:] > 0))
+    codes = place[at - 1] * (int(words.max()) + 1) + words[at]
+    codes, numbers = np.unique(codes, return_inverse=True)
+    return codes, numbers, at
+
+
+def _of_blocks(
+    batches: Iterator[pa.RecordBatch],
+    use: Callable[[int, Block, pa.DataType], Iterator[pa.RecordBatch]],
+) -> Iterator[pa.RecordBatch]:
+    """``use`` on each block of a task; its rows come together, the texts last."""
+    held, name, kind = Block(), None, None
+    for batch in batches:
+        kind = batch.schema.field("id").type
+        blocks = batch["block"].to_numpy(zero_copy_only=False)
+        orders = batch["order"].to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(orders) != 0)) + 1
+        for lo, hi in zip([0, *edges], [*edges, len(blocks)]):
+            if lo == hi:
+                continue
+            if blocks[lo] != name:
+                if name is not None:
+                    yield from use(name, held, kind)
+                held, name = Block(), blocks[lo]
+            part = batch.slice(lo, hi - lo)
+            if orders[lo] == TEXTS:
+                columns = (part[c].to_pylist() for c in ("id", "train", "ids"))
+                held.texts.extend(zip(*columns))
+            else:
+                held.grams.setdefault(int(orders[lo]), Grams()).add(part)
+    if name is not None:
+        yield from use(name, held, kind)
+
+
+def _met(texts: DataFrame, levels: list[DataFrame], n_blocks: int) -> DataFrame:
+    """Texts and n-grams, block by block."""
+    no = F.lit(None)
+    kind = texts.schema["id"].dataType
+    both = texts.select(
+        "block", F.lit(TEXTS).alias("order"), no.cast("int").alias("number"),
+        no.cast("bigint").alias("gram"), no.cast("bigint").alias("n"),
+        no.cast("double").alias("drop"), "id", "train", "ids",
     )
+    for k, level in enumerate(levels, 1):
+        drop = F.col("drop") if "drop" in level.columns else F.lit(0.0)
+        both = both.unionByName(
+            level.select(
+                "block", F.lit(k).alias("order"), "number", "gram", "n", drop.alias("drop"),
+                no.cast(kind).alias("id"), no.cast("boolean").alias("train"),
+                no.cast("binary").alias("ids"),
+            )
+        )
+    dealt = both.repartition(max(1, 3 * n_blocks), "block")
+    return dealt.sortWithinPartitions("block", "order")
 
 
-def len_of(state: int, fail: list[int]) -> int:
-    n = 0
-    while state:
-        state, n = fail[state], n + 1
-    return n
+def _named(counted: DataFrame, *key: str) -> DataFrame:
+    """``gram``, a number for each different key, and ``first``, true in one of its rows."""
+    numbered = counted.withColumn("row", F.monotonically_increasing_id())
+    named = numbered.withColumn("gram", F.min("row").over(W.partitionBy(*key)))
+    return named.withColumn("first", F.col("row") == F.col("gram")).drop("row")
 
 
-def traverse(a: Automaton, words: list[int], unigrams: list[float]) -> float:
-    """log10 probability: one pass, the state carried from word to word.
+def _counted(met: DataFrame, order: int, denominator: float, least: float) -> DataFrame:
+    """The n-grams of this order with a count of ``least`` or more, in each block that has them.
 
-    ``words`` are numbers in the automaton, -1 for words without a history;
-    ``unigrams`` the log10 unigram probabilities.
+    ``below`` is the last word's probability after the history that is one shorter.
     """
-    arcs, backoff, fail, drop, after, width = (
-        a.arcs, a.backoff, a.fail, a.drop, a.after, a.width,
+
+    def use(name: int, block: Block, _: pa.DataType) -> Iterator[pa.RecordBatch]:
+        words, _, train = block.row()
+        levels = block.levels(words, order - 1, denominator)
+        of_word, level = levels[0].gram, levels[-1]
+        codes, numbers, at = _longer(level.place, words)
+        uses = np.bincount(numbers[train[at]], minlength=len(codes))
+        ends = np.zeros(len(codes), np.int64)
+        ends[numbers] = at
+        for lo in range(0, len(codes), ROWS):
+            end = ends[lo : lo + ROWS]
+            columns = {
+                "block": np.full(len(end), name, np.int64),
+                "number": np.arange(lo, lo + len(end), dtype=np.int32),
+                "history": level.gram[level.place[end - 1]],
+                "word": of_word[words[end]],
+                "uses": uses[lo : lo + ROWS],
+                "below": level.chance[level.place[end]],
+            }
+            yield pa.RecordBatch.from_pydict({k: pa.array(c) for k, c in columns.items()})
+
+    found = met.mapInArrow(
+        lambda batches: _of_blocks(batches, use),
+        "block bigint, number int, history bigint, word bigint, uses bigint, below double",
     )
-    state, total = a.start, 0.0
-    for word, alone in zip(words, unigrams):
-        if word < 0:
-            total += drop[state] + alone
-            state = 0
-            continue
-        arc = arcs.get(state * width + word)
-        while arc is None and state:
-            total += backoff[state]
-            state = fail[state]
-            arc = arcs.get(state * width + word) if state else None
-        if arc is None:
-            total += alone
-            state = after[word]
-        else:
-            total += arc[0]
-            state = arc[1]
-    return total
+    # An n-gram is in a block once, so its window has a row per block at most.
+    n = F.sum("uses").over(W.partitionBy("history", "word"))
+    kept = found.withColumn("n", n).filter(F.col("n") >= least)
+    return _named(kept, "history", "word").drop("word", "uses")
+
+
+def _weighted(level: DataFrame, longer: DataFrame) -> DataFrame:
+    """``level`` with ``drop``, log10 of the backoff weights to ``longer``, zero if it has none."""
+    given = (
+        longer.filter("first")
+        .groupBy(F.col("history").alias("gram"))
+        .agg(F.sum(F.col("n") - DISCOUNT).alias("given"), F.sum("below").alias("rest"))
+    )
+    left = F.greatest(F.lit(1e-12), 1.0 - F.col("given") / F.col("n"))
+    weight = left / F.greatest(F.lit(1e-12), 1.0 - F.col("rest"))
+    # Rounded, so that it doesn't hang on the order in which the sums were made.
+    drop = F.coalesce(F.round(F.log10(weight), 12), F.lit(0.0)).alias("drop")
+    columns = ["block", "number", "gram", "n"]
+    met = level.filter("gram >= 0").join(given.hint("merge"), "gram", "left")
+    others = level.filter("gram < 0").select(*columns, F.lit(0.0).alias("drop"))
+    return met.select(*columns, drop).unionByName(others)
+
+
+def _scores(block: Block, order: int, denominator: float) -> list[tuple]:
+    """A row per text: id, trained, tokens, known ones, log10 by unigrams and by the automaton.
+
+    A word takes the arc of the longest history that has one, after the failure
+    arcs of those that have none. Which histories a text is in hangs on its
+    words alone, so all words of a block are read at once, order by order.
+    """
+    words, starts, _ = block.row()
+    levels = block.levels(words, order, denominator)
+    alone = np.log10(levels[0].chance)[words]
+    alone[starts] = 0.0
+    total = alone.copy()
+    for history, level in zip(levels, levels[1:]):
+        fails = 1 + np.flatnonzero((history.place[:-1] >= 0) & (words[1:] > 0))
+        total[fails] += history.drop[history.place[fails - 1]]
+        arcs = np.flatnonzero(level.place >= 0)
+        total[arcs] = np.log10(level.chance[level.place[arcs]])
+    known = ((words > 0) & (levels[0].n[words] > 0)).astype(np.int64)
+    sums = [np.add.reduceat(x, starts).tolist() for x in (known, alone, total)]
+    sizes = np.diff([*starts, len(words)]) - 1
+    ids, trained, _ = zip(*block.texts)
+    return list(zip(ids, trained, sizes.tolist(), *sums))
 
 
 def lm_scores(
@@ -330,13 +374,15 @@ def lm_scores(
     The model learns from the rows where ``train`` holds. Tokens are the words,
     A-Z lower-cased, and one end per text.
 
+    An n-gram is kept if it occurs ``MIN_COUNT`` times or more in the training texts.
+    ``word_share`` and ``gram_share`` ask for more, as shares of the training tokens.
+
     * A null text counts as empty: its only token is the end.
     * A null ``train`` counts as false.
     * Repeated rows are counted and scored like others; null ids are passed on.
     * No training rows: every token is unknown. An empty table gives no rows.
       Other columns are not looked at, unless ``train`` does.
     """
-    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
         F.col(id_col).alias("id"),
@@ -345,99 +391,45 @@ def lm_scores(
     )
     blocks = stored(_blocked(rows, kind), "lm-blocks")
     texts = blocks.filter("word is null").select("block", "id", "train", "n_tokens", "ids")
-    totals = texts.filter("train").agg(F.sum("n_tokens"), F.count("*")).first()
-    n_train, n_texts = totals[0] or 0, totals[1]
+    n_train = texts.filter("train").agg(F.sum("n_tokens")).first()[0] or 0
+    n_blocks = texts.select("block").distinct().count()
+    least = max(MIN_COUNT, n_train * gram_share)
     # A word is in a block once, so its window has a row per block at most.
-    of_word = W.partitionBy("word")
-    counted = blocks.filter("word is not null").select(
-        "block",
-        "number",
-        "word",
-        F.sum("uses").over(of_word).alias("n"),
-        (F.row_number().over(of_word.orderBy("block")) == 1).alias("first"),
-    )
-    frequent = F.col("n") >= max(1.0, n_train * word_share)
+    n = F.sum("uses").over(W.partitionBy("word"))
+    counted = _named(blocks.filter("word is not null").withColumn("n", n), "word")
+    marks = F.col("word").isin(START, END)
+    frequent = marks | (F.col("n") >= max(1.0, n_train * word_share))
+    is_word = F.col("word") != F.lit(START)
     counted = stored(
-        counted.withColumn("word", F.when(frequent | (F.col("word") == F.lit(END)), F.col("word"))),
+        counted.select(
+            "block",
+            "number",
+            "n",
+            (F.col("first") & (F.col("n") > 0) & is_word).alias("counts"),
+            F.when(frequent & (F.col("n") >= least), F.col("gram")).otherwise(-1).alias("gram"),
+        ),
         "lm-words",
     )
-    n_words = counted.filter("first and n > 0").count()
-    denominator = n_train + ADDED * (n_words + 1)
-    chosen = counted.filter("first and n > 0 and word is not null").select("word", "n").collect()
-    named = sorted([(bytes(r["word"]), r["n"]) for r in chosen] + [(START, n_texts)])
-    words = {word: i for i, (word, _) in enumerate(named)}
-    kept = [np.arange(len(named))]
-    grams: list[dict[int, int]] = []
-    for _ in range(order - 1):
-        level = _gram_counts(rows, words, kept).filter(
-            F.col("n") >= max(2.0, n_train * gram_share)
+    denominator = n_train + ADDED * (counted.filter("counts").count() + 1)
+    levels = [counted]
+    for k in range(2, order + 1):
+        # To count n-grams takes only words that can stand in one, and no ids.
+        parts = [levels[0].filter("gram >= 0"), *levels[1:]]
+        no_id = texts.withColumn("id", F.lit(None).cast("int"))
+        found = _counted(_met(no_id, parts, n_blocks), k, denominator, least)
+        levels.append(stored(found, f"lm-grams-{k}"))
+    levels[:-1] = [_weighted(level, longer) for level, longer in zip(levels, levels[1:])]
+
+    def use(_: int, block: Block, of_id: pa.DataType) -> Iterator[pa.RecordBatch]:
+        columns = zip(*_scores(block, order, denominator))
+        kinds = [of_id, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)],
+            names=["id", "trained", "n_tokens", "n_known", "base_score", "score"],
         )
-        found = sorted((r["code"], r["n"]) for r in level.collect())
-        if not found:
-            break
-        kept.append(np.array([code for code, _ in found], np.int64))
-        grams.append(dict(found))
-    automaton = spark.sparkContext.broadcast(build_automaton(named, grams, denominator))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = automaton.value
-        block, numbers, places = None, [], []
-        alone = known = None
-        for batch in batches:
-            out = []
-            blocks_here = batch["block"].to_numpy(zero_copy_only=False)
-            is_word = np.asarray(batch["is_word"].to_numpy(zero_copy_only=False), bool)
-            edges = np.flatnonzero(np.diff(blocks_here) | np.diff(is_word.astype(np.int8))) + 1
-            for lo, hi in zip([0, *edges], [*edges, len(blocks_here)]):
-                if lo == hi:
-                    continue
-                if blocks_here[lo] != block:
-                    block, numbers, places, alone = blocks_here[lo], [], [], None
-                part = batch.slice(lo, hi - lo)
-                if is_word[lo]:
-                    numbers.append(part["n"].to_numpy(zero_copy_only=False))
-                    places.extend(
-                        -1 if w is None else a.words.get(w, -1) for w in part["word"].to_pylist()
-                    )
-                    continue
-                if alone is None:
-                    uses = np.concatenate(numbers)
-                    alone = np.log10((uses + ADDED) / denominator)
-                    known, place = uses > 0, np.array(places, np.int64)
-                for key, trained, packed in zip(
-                    part["id"].to_pylist(), part["train"].to_pylist(), part["ids"].to_pylist()
-                ):
-                    ids = _unpack(packed)
-                    single = alone[ids]
-                    total = traverse(a, place[ids].tolist(), single.tolist())
-                    out.append(
-                        (key, trained, len(ids), int(known[ids].sum()), float(single.sum()), total)
-                    )
-            if out:
-                columns = list(zip(*out))
-                kinds = [batch.schema.field("id").type, pa.bool_(), pa.int64(), pa.int64(),
-                         pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)],
-                    names=["id", "trained", "n_tokens", "n_known", "base_score", "score"],
-                )
-
-    # Words before texts, block by block; a task keeps the words of one block.
-    no = F.lit(None)
-    of_words = counted.select(
-        "block", F.lit(True).alias("is_word"), "number", "n", "word",
-        no.cast(kind).alias("id"), no.cast("boolean").alias("train"),
-        no.cast("binary").alias("ids"),
-    )
-    of_texts = texts.select(
-        "block", F.lit(False).alias("is_word"), no.cast("int").alias("number"),
-        no.cast("bigint").alias("n"), no.cast("binary").alias("word"), "id", "train", "ids",
-    )
-    n_blocks = texts.select("block").distinct().count()
-    both = of_words.unionByName(of_texts).repartition(max(1, 3 * n_blocks), "block")
-    ordered = both.sortWithinPartitions("block", F.desc("is_word"), "number")
-    scored = ordered.mapInArrow(
-        run,
+    scored = _met(texts, levels, n_blocks).mapInArrow(
+        lambda batches: _of_blocks(batches, use),
         f"id {kind}, trained boolean, n_tokens bigint, n_known bigint, base_score double,"
         " score double",
     )
