@@ -88,6 +88,38 @@ def test_scan(spark):
     assert Counter(map(tuple, found)) == by_force(TEXTS)
 
 
+HEADERS = {
+    "MIT": """# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction, including without limitation the rights
+# to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+# copies of the Software.""",
+    "MPL-2.0": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */""",
+    "GPL-3.0": """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or
+// (at your option) any later version.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+}
+
+
+def test_wrapped_headers_and_lines_without_a_cue(spark):
+    one_line = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
+        " software and associated documentation files"
+    )
+    around = "def first(): pass\n\n{}\n\nimport os\nfor x in the: of(to)"
+    rows = [(i, around.format(text)) for i, text in enumerate([*HEADERS.values(), one_line])]
+    rows.append((9, "Permission to sit here\nis of the kind that any person\nmay use"))
+    docs = spark.createDataFrame([(*row, None) for row in rows], "doc_id int, text string, path string")
+    found = {r["doc_id"]: r["license"] for r in license_scan(docs).collect()}
+    assert found == dict(enumerate([*HEADERS, "MIT"])) | {9: None}
+
+
 def test_edges(spark):
     docs = edge_docs(spark).withColumn("path", F.lit("a/b"))
     assert license_scan(docs).count() == docs.count()

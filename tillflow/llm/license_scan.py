@@ -1,11 +1,19 @@
 """Licence scans: cosine similarity to templates, then inheritance by directory.
 
-A passage is a line that has one of the cues of a licence notice. Passages and
-templates are TF-IDF vectors; document frequencies are counted over the
-passages of all documents. A passage takes the licence of its nearest template
-if the cosine reaches a threshold. Equal passages are counted and scored once,
+A passage is a line that has one of the cues of a licence notice, or a window:
+lines in a row, or a whole text, that may reach the threshold. Passages and
+templates are TF-IDF vectors; document frequencies are counted over the lines
+with a cue of all documents. A passage takes the licence of its nearest
+template if the cosine reaches a threshold. Equal passages are scored once,
 so a notice that stands in a third of all documents is one row here.
 
+Windows need no cue. A text is looked at for them if it shares so much of a
+template's weight that a cosine over the threshold is possible at all, and a
+window is scored if its cosine would reach the threshold were its other terms
+as light as terms can be. Both bounds lose nothing. A window must also share
+more than half of the template's different terms: where all lines with a cue
+have "licensed", a stray "by" may be most of the weight of a short template.
+
 A document without a licence of its own takes that of the nearest directory
 above it that has a licence file. Directories, not documents, are joined with
 the ancestors of their paths; each directory then meets its documents.
@@ -13,7 +21,13 @@ the ancestors of their paths; each directory then meets its documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import stored, text_of
@@ -70,7 +84,7 @@ def _terms(text_col: str):
 
 
 def passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``id``, ``passage``, ``text``): the different lines with a cue in each document.
+    """(``id``, ``passage``, ``text``, ``cue``): the different lines with a cue in each document.
 
     ``passage`` is a digest of the line, so that long lines are not repeated
     with each of their terms.
@@ -82,60 +96,165 @@ def passages(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = docs.filter(has_cue).select(
         F.col(id_col).alias("id"), F.explode(F.array_distinct(lines)).alias("text")
     )
-    return found.select("id", F.unhex(F.md5("text")).alias("passage"), "text")
-
+    passage = F.unhex(F.md5("text")).alias("passage")
+    return found.select("id", passage, "text", F.lit(True).alias("cue"))
 
-def match(found: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(``passage``, ``license``, ``score``) for the different passages of ``found``.
 
-    The templates are a parameter of fixed size and are the only broadcast.
-    """
-    spark = found.sparkSession
+def _given(spark: SparkSession, templates) -> DataFrame:
     given = spark.createDataFrame(
         [(i, name, text) for i, (name, text) in enumerate(templates)],
         "template int, license string, text string",
     )
-    units = found.groupBy("passage").agg(F.count("*").alias("n"), F.first("text").alias("text"))
-    terms = stored(
-        units.select("passage", "n", F.explode(_terms("text")).alias("term"))
-        .groupBy("passage", "n", "term")
-        .agg(F.count("*").alias("tf")),
-        "license-terms",
-    )
-    total = found.count() + len(templates)
-    wanted = (
+    return (
         given.select("template", "license", F.explode(_terms("text")).alias("term"))
         .groupBy("template", "license", "term")
         .agg(F.count("*").alias("tf"))
     )
-    in_templates = wanted.groupBy("term").agg(F.count("*").alias("n"))
-    frequency = stored(
-        terms.select("term", "n")
-        .unionByName(in_templates)
-        .groupBy("term")
-        .agg(F.sum("n").alias("df")),
-        "license-frequency",
+
+
+def weigh(found: DataFrame, templates=TEMPLATES) -> tuple[DataFrame, float]:
+    """(``term``, ``idf``) for the terms of ``found`` and the templates; the idf of all others."""
+    units = found.groupBy("passage").agg(F.count("*").alias("n"), F.first("text").alias("text"))
+    terms = units.select("n", F.explode(F.array_distinct(_terms("text"))).alias("term"))
+    in_templates = (
+        _given(found.sparkSession, templates).groupBy("term").agg(F.count("*").alias("n"))
     )
+    total = found.count() + len(templates)
+    frequency = terms.select("term", "n").unionByName(in_templates)
     idf = F.log((1.0 + total) / (1.0 + F.col("df"))) + 1.0
-    weights = frequency.select("term", idf.alias("idf"))
+    weights = frequency.groupBy("term").agg(F.sum("n").alias("df")).select("term", idf.alias("idf"))
+    return stored(weights, "license-weights"), math.log(1.0 + total) + 1.0
+
+
+def windows(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    idf: dict[str, float],
+    templates=TEMPLATES,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """(``id``, ``passage``, ``text``, ``cue``): windows that may reach the threshold.
+
+    ``idf`` has the terms of the templates. A window has at most twice as many
+    terms as the longest template, since a notice and the rests of its first
+    and last line fit in; besides, each whole text is one.
+    """
+    vectors = [
+        {term: tf * idf[term] for term, tf in Counter(re.findall(TERM, text.lower())).items()}
+        for _, text in templates
+    ]
+    squares = [sum(w * w for w in vector.values()) for vector in vectors]
+    longest = 2 * max((len(re.findall(TERM, text.lower())) for _, text in templates), default=0)
+    least = threshold - 1e-6
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def possible(terms) -> list[int]:
+        """Templates of whose weight enough is in ``terms``: no cosine exceeds that share."""
+        return [
+            i
+            for i, (vector, square) in enumerate(zip(vectors, squares))
+            if 2 * len(vector.keys() & terms) > len(vector)
+            and sum(w * w for t, w in vector.items() if t in terms) >= least * least * square
+        ]
+
+    def reaches(counts: Counter, among: list[int]) -> bool:
+        # No idf is below one.
+        norm = sum((tf * idf.get(term, 1.0)) ** 2 for term, tf in counts.items())
+        return any(
+            2 * len(vectors[i].keys() & counts.keys()) > len(vectors[i])
+            and sum(w * counts[t] * idf[t] for t, w in vectors[i].items() if t in counts)
+            >= least * math.sqrt(norm * squares[i])
+            for i in among
+        )
+
+    def found_in(text: str) -> Iterator[str]:
+        among = possible(set(re.findall(TERM, text.lower())))
+        if not among:
+            return
+        lines = [(line, re.findall(TERM, line.lower())) for line in text.split("\n")]
+        lines = [(line, terms) for line, terms in lines if terms]
+        of_templates = set().union(*(vectors[i] for i in among))
+        whole: Counter = Counter()
+        for i, (_, terms) in enumerate(lines):
+            whole.update(terms)
+            if of_templates.isdisjoint(terms):
+                continue
+            counts: Counter = Counter()
+            n = 0
+            for j in range(i, len(lines)):
+                n += len(lines[j][1])
+                if n > longest:
+                    break
+                counts.update(lines[j][1])
+                if not of_templates.isdisjoint(lines[j][1]) and reaches(counts, among):
+                    yield "\n".join(line for line, _ in lines[i : j + 1])
+        if reaches(whole, among):
+            yield text
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                (key, window)
+                for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist())
+                for window in dict.fromkeys(found_in(text))
+            ]
+            keys, texts = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "id": pa.array(keys, batch.schema.field("id").type),
+                    "text": pa.array(texts, pa.string()),
+                }
+            )
+
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    seen = rows.mapInArrow(run, f"id {kind}, text string")
+    passage = F.unhex(F.md5("text")).alias("passage")
+    return seen.select("id", passage, "text", F.lit(False).alias("cue"))
+
+
+def match(
+    found: DataFrame,
+    weights: DataFrame,
+    other: float,
+    templates=TEMPLATES,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """(``passage``, ``license``, ``score``) for the different passages of ``found``.
+
+    Terms that are not in ``weights`` weigh ``other``. Where ``cue`` is false, more than half of
+    the template's terms must be shared. The templates are a
+    parameter of fixed size and are the only broadcast.
+    """
+    units = found.groupBy("passage").agg(F.first("text").alias("text"), F.max("cue").alias("cue"))
+    terms = stored(
+        units.select("passage", "cue", F.explode(_terms("text")).alias("term"))
+        .groupBy("passage", "cue", "term")
+        .agg(F.count("*").alias("tf")),
+        "license-terms",
+    )
+    wanted = _given(found.sparkSession, templates)
     of_template = wanted.join(weights, "term").select(
         "template", "license", "term", (F.col("tf") * F.col("idf")).alias("w_template")
     )
     template_norm = of_template.groupBy("template").agg(
-        F.sqrt(F.sum(F.col("w_template") * F.col("w_template"))).alias("norm_template")
+        F.sqrt(F.sum(F.col("w_template") * F.col("w_template"))).alias("norm_template"),
+        F.count("*").alias("n_template"),
     )
-    of_passage = terms.join(weights, "term").select(
-        "passage", "term", (F.col("tf") * F.col("idf")).alias("w")
+    idf = F.coalesce("idf", F.lit(other))
+    of_passage = terms.join(weights, "term", "left").select(
+        "passage", "cue", "term", (F.col("tf") * idf).alias("w")
     )
     norm = of_passage.groupBy("passage").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dot = (
         of_passage.join(F.broadcast(of_template), "term")
-        .groupBy("passage", "template", "license")
-        .agg(F.sum(F.col("w") * F.col("w_template")).alias("dot"))
+        .groupBy("passage", "cue", "template", "license")
+        .agg(F.sum(F.col("w") * F.col("w_template")).alias("dot"), F.count("*").alias("shared"))
     )
     scored = (
         dot.join(norm, "passage")
         .join(F.broadcast(template_norm), "template")
+        .filter("cue or 2 * shared > n_template")
         .withColumn(
             "score", F.round(F.col("dot") / (F.col("norm") * F.col("norm_template")), 9)
         )
@@ -183,9 +302,15 @@ def license_scan(
       of its own. An empty table gives no rows. Other columns are not looked at.
     """
     found = stored(passages(docs, id_col, text_col), "license-passages")
+    weights, other = weigh(found, templates)
+    # As many rows as the templates have terms.
+    own_terms = _given(docs.sparkSession, templates).select("term").distinct()
+    idf = {r["term"]: r["idf"] for r in weights.join(F.broadcast(own_terms), "term").collect()}
+    wide = windows(docs, id_col, text_col, idf, templates, threshold)
+    found = stored(found.unionByName(wide), "license-units")
     # A notice may stand in a third of all documents: a stored side lets the join split it.
-    nearest_template = stored(match(found, templates, threshold), "license-matched")
-    matched = found.drop("text").join(nearest_template, "passage")
+    nearest_template = stored(match(found, weights, other, templates, threshold), "license-matched")
+    matched = found.select("id", "passage").join(nearest_template, "passage")
     own = stored(
         matched.groupBy("id")
         .agg(F.max(F.struct("score", "license")).alias("best"))
