@@ -9,6 +9,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tests.llm.cases import edge_docs, edge_rows, empty_docs, lower, rows_of
 from tillflow.llm.exact_dedup import exact_dedup
 from tillflow.llm.line_dedup import line_dedup
@@ -105,3 +107,12 @@ def test_line_dedup_runs_no_python(spark, capsys):
     line_dedup(edge_docs(spark)).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_line_counts_documents_not_rows(spark):
+    line = "a line of more than forty characters, shared by some documents"
+    rows = [(1, line), (2, line), (3, line), (3, line), (3, line)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert line_dedup(docs).agg(F.sum("n_dropped")).first()[0] == 0
+    more = docs.union(spark.createDataFrame([(None, line), (None, line)], docs.schema))
+    assert line_dedup(more).agg(F.sum("n_dropped")).first()[0] == 2

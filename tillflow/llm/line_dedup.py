@@ -1,9 +1,9 @@
 """Line deduplication: lines that many documents share stay in one of them.
 
 Everything is built of DataFrame functions. A document's long lines become
-128-bit keys, each once per document, so that counting rows of a key counts
-documents; the counts are summed before the shuffle. Texts are moved once, to
-meet the keys that their document loses.
+128-bit keys, each once per row. Rows of a key are counted first, summed before
+the shuffle; keys with enough of them are then counted by distinct document.
+Texts are moved once, to meet the keys that their document loses.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def line_dedup(
 
     * A null or empty text is one empty line and comes back as empty text.
     * A line repeated inside a document counts once; all its copies go or stay.
-    * Rows are documents. Rows that repeat the largest id all keep the line.
+    * Rows that repeat an id are one document. Those of the largest id all keep the line.
     * Rows without id count as documents and keep all their lines.
     * An empty table gives no rows.
     """
@@ -61,15 +61,27 @@ def line_dedup(
     keyed = rows.select(own.alias("id"), keys.alias("keys"))
     keyed = stored(keyed.filter(F.size("keys") > 0), "line-keys")
     holders = keyed.select("id", F.explode("keys").alias("key"))
-    frequent = stored(
+    # A key has no more documents than rows: only keys of enough rows are counted by document.
+    often = stored(
         holders.groupBy("key")
         .agg(F.count("*").alias("n"), F.max("id").alias("last"))
         .filter(F.col("n") >= min_docs)
         .select("key", "last"),
+        "line-often",
+    )
+    held = stored(holders.join(often, "key"), "line-held")
+    of_rows = F.when(F.col("id").isNull(), F.col("rows")).otherwise(1)
+    frequent = stored(
+        held.groupBy("key", "id")
+        .agg(F.count("*").alias("rows"))
+        .groupBy("key")
+        .agg(F.sum(of_rows).alias("n"))
+        .filter(F.col("n") >= min_docs)
+        .select("key"),
         "line-frequent",
     )
     lost = (
-        holders.join(frequent, "key")
+        held.join(frequent, "key")
         .filter(F.col("id") != F.col("last"))
         .groupBy("id")
         .agg(F.collect_set("key").alias("lost"))
