@@ -1,8 +1,11 @@
-"""DuckDB SQL for the queries that SQL can express, over the table ``documents``."""
+"""DuckDB SQL for the queries that SQL can express."""
 
 from __future__ import annotations
 
 from tillflow.llm.license_scan import CUES, TEMPLATES, TERM, THRESHOLD
+from tillflow.llm.queries import URL_RULES
+from tillflow.llm.ranked_search import TERM as RANKED_TERM
+from tillflow.llm.url_filter import CANONICAL, HIDDEN, HREF, REFRESH, SENT_TO, TAG
 
 
 def _lower(text: str) -> str:
@@ -191,10 +194,175 @@ LICENSES = rf"""
             as from_directory
     from d left join own o using (doc_id) left join near n using (doc_id)"""
 
+SEARCH = rf"""
+    with d as (
+        select row_number() over () as row, doc_id,
+            regexp_extract_all({_lower("coalesce(text, '')")}, '{RANKED_TERM}') as terms
+        from documents),
+    i as (
+        select row_number() over () as item, item_id,
+            regexp_extract_all({_lower("coalesce(text, '')")}, '{RANKED_TERM}') as terms
+        from benchmark),
+    size as (select count(*) filter (len(terms) > 0) as docs, sum(len(terms))::bigint as total from d),
+    wanted as (
+        select item, term, count(*) as times
+        from (select item, unnest(terms) as term from i) x group by all),
+    found as (
+        select row, n, term, count(*) as tf
+        from (select row, len(terms) as n, unnest(terms) as term from d) x
+        where term in (select term from wanted) group by all),
+    weight as (
+        select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w
+        from found, size group by term),
+    part as (
+        select row, term, w * ((1000000000 * tf)
+            // (1000 * tf + 8 * (25 + (75 * n * docs) // total))) as x
+        from found join weight using (term), size),
+    score as (
+        select item, row, sum(times * x)::bigint as score
+        from wanted join part using (term) group by all having sum(times * x) > 0),
+    ranked as (
+        select item, doc_id, score, row_number() over (
+            partition by item order by score desc, doc_id nulls last) as rank
+        from score join d using (row))
+    select item_id, rank::int as rank, doc_id, score from ranked join i using (item) where rank <= 10"""
+
+_FIELDS = "doc_id source lang n_chars text".split()
+
+
+def _sized(value: str) -> str:
+    text = f"cast({value} as varchar)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = [n_chars if f == "n_chars" else f for f in _FIELDS]
+    return f"sha256({' || '.join(map(_sized, fields))})"
+
+
+# crc32 by the bits of its polynomial, since DuckDB has no such function.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, range(8 * strlen(digits))), lambda c, i:
+    case when xor(c, (ascii(digits[i // 8 + 1]) >> (i % 8)) & 1) & 1 = 1
+        then xor(c >> 1, 3988292384) else c >> 1 end))"""
+
+_LEVELS = """
+    select {key}, 0 as level, list(h order by {order}) as hashes from {of} group by {key}
+    union all
+    select {key}, level + 1, list_transform(range((len(hashes) + 1) // 2),
+        lambda i: sha256(hashes[2 * i + 1] || coalesce(hashes[2 * i + 2], '')))
+    from {name} where len(hashes) > 1"""
+
+MERKLE = f"""
+    with recursive t as (
+        select row_number() over (order by doc_id nulls first) as row, doc_id,
+            coalesce('=' || lang, '') as tree, n_chars, {_leaf("n_chars")} as h,
+            {_leaf("n_chars + 1")} as more, cast(doc_id as varchar) as digits
+        from documents),
+    d as (
+        select row, doc_id, tree, h, case when n_chars is not null and ({_CRC32}) % 7 = 0
+            then more else h end as changed,
+            row_number() over (partition by tree order by doc_id nulls first, h) - 1 as rank
+        from t),
+    lower_ as ({_LEVELS.format(key="tree", order="rank", of="d", name="lower_")}),
+    subroot as (select tree, hashes[1] as h, level as height, 1 as one,
+        row_number() over (order by encode(tree)) - 1 as rank from lower_ where len(hashes) = 1),
+    upper_ as ({_LEVELS.format(key="one", order="rank", of="subroot", name="upper_")}),
+    top as (select hashes[1] as root from upper_ where len(hashes) = 1),
+    level_ as (
+        select tree, level, hashes from lower_ where len(hashes) > 1
+        union all
+        select tree, height + level, hashes from subroot, upper_ where len(hashes) > 1),
+    fold as (
+        select row, d.tree, s.height, d.rank as place, s.rank as upper_place, 0 as level, changed as own,
+            '' as proof from d join subroot s using (tree)
+        union all
+        select row, f.tree, height,
+            place // 2, upper_place, level + 1,
+            sha256(case when place % 2 = 1 then hashes[place] || own
+                else own || coalesce(hashes[place + 2], '') end),
+            proof || case when place % 2 = 1 then hashes[place] else coalesce(hashes[place + 2], '') end
+        from (select * replace (
+            case when level = height then upper_place else place end as place) from fold) f
+            join level_ using (tree, level)),
+    last_ as (select * from fold qualify row_number() over (partition by row order by level desc) = 1)
+    select doc_id, d.h as leaf, s.h as subroot, root, sha256(proof) as proof_sha256,
+        own as folded_root, own = root as verified
+    from d join subroot s using (tree) join last_ using (row), top"""
+
+
+def _address(url: str) -> str:
+    behind = f"substr({url}, strpos({url}, '://') + 3)"
+    host = _lower(f"regexp_extract({behind}, '^[^/?#]*')")
+    known = f"coalesce(strpos({url}, '://') > 0, false)"
+    return f"""case when {known} then {host} else '' end as host,
+        case when {known} then regexp_extract({behind}, '^[^/?#]*([^?#]*)', 1) else '' end as path,
+        case when {known} then {host} || regexp_extract({behind}, '^[^/?#]*([^#]*)', 1) end as node"""
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_FITS = " ".join(
+    f"when (host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}')"
+    f" then '{host}{path}'"
+    for _, host, path in sorted(URL_RULES, key=lambda r: -len(r.host + r.path))
+)
+_ACTION = " ".join(f"when '{r.host}{r.path}' then '{r.action}'" for r in URL_RULES)
+
+URLS = f"""
+    with recursive p as (select page_id, url, {_address("url")} from pages),
+    shown as (
+        select url, regexp_replace(html, {_quoted(HIDDEN)}, '', 'g') as html
+        from pages where strpos(url, '://') > 0),
+    tag as (select url, unnest(regexp_extract_all(html, {_quoted(TAG)})) as tag from shown),
+    aim as (
+        select url, trim(replace(case
+            when regexp_matches(tag, {_quoted(CANONICAL)}) then
+                regexp_extract(tag, {_quoted(HREF)}, 1) || regexp_extract(tag, {_quoted(HREF)}, 2)
+                || regexp_extract(tag, {_quoted(HREF)}, 3)
+            when regexp_matches(tag, {_quoted(REFRESH)}) then
+                regexp_extract(tag, {_quoted(SENT_TO)}, 1) end, '&amp;', '&')) as aim,
+            regexp_extract(url, '^(.*?)://', 1) as scheme,
+            regexp_extract(url, '^.*?://([^/?#]*)', 1) as site,
+            regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) as place
+        from tag),
+    link as (
+        select url, case
+            when regexp_matches(aim, '^[A-Za-z][A-Za-z0-9+.-]*://') then aim
+            when regexp_matches(aim, '^[A-Za-z][A-Za-z0-9+.-]*:') then null
+            when starts_with(aim, '//') then scheme || ':' || aim
+            when starts_with(aim, '/') then scheme || '://' || site || aim
+            when aim = '' or starts_with(aim, '#') then null
+            when starts_with(aim, '?') then scheme || '://' || site || place || aim
+            else scheme || '://' || site
+                || case when place = '' then '/' else regexp_extract(place, '^.*/') end || aim
+            end as aim
+        from aim where aim is not null),
+    ends as (
+        select url, aim, row_number() over () as edge from link where strpos(aim, '://') > 0),
+    end_ as (
+        select edge, {_address("url")} from ends union all select edge, {_address("aim")} from ends),
+    arc as (select distinct a.node as a, b.node as b from end_ a join end_ b using (edge)),
+    reach as (
+        select distinct node as a, node as b from end_
+        union select r.a, arc.b from reach r join arc on r.b = arc.a),
+    ruled as (select *, case {_FITS} end as rule from p),
+    word as (select node, case (case {_FITS} end) {_ACTION} end as action from end_),
+    passed as (select a as node, min(action) as passed from reach join word on b = word.node
+        group by a)
+    select page_id, host, path, rule, coalesce(case rule {_ACTION} end, passed, 'allow') as verdict
+    from ruled left join passed using (node)"""
+
+
 ORACLES = {
     "op1_exact_dedup": EXACT,
     "op2_line_dedup": LINES,
     "op4_license_scan": LICENSES,
     "op7_jaccard_join": JOIN,
     "op8_quality_rules": QUALITY,
+    "op11_ranked_search": SEARCH,
+    "op12_merkle_manifest": MERKLE,
+    "op13_url_filter": URLS,
 }

@@ -14,12 +14,21 @@ from tillflow.llm.language_id import identify, learn
 from tillflow.llm.license_scan import CUES, license_scan
 from tillflow.llm.line_dedup import line_dedup
 from tillflow.llm.lm_score import lm_scores
+from tillflow.llm.merkle import folded, merkle_manifest, proof_text
 from tillflow.llm.mixing import mix
 from tillflow.llm.quality import quality_rules
+from tillflow.llm.ranked_search import ranked_search
 from tillflow.llm.sharding import shard_by_bytes
+from tillflow.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 
 RANKS = "byte_bpe_50k.tiktoken"
 LANGUAGE_PIECES = "byte_bpe_multi_50k.tiktoken"
+URL_RULES = (
+    Rule(BLOCK, "net", "/"),
+    Rule(ALLOW, "example.net", "/en/"),
+    Rule(BLOCK, "example.com", "/de/"),
+    Rule(ALLOW, "org", "/fr/"),
+)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +122,34 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranked_search(documents(spark, sf_dir), items)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows, held against a copy in which some rows have one more ``n_chars``."""
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    more = n_chars + F.when(touched, F.lit(1)).otherwise(F.lit(0))
+    proven = merkle_manifest(documents(spark, sf_dir), changed={"n_chars": more})
+    found = folded(F.col("changed_leaf"), F.col("siblings"))
+    rows = proven.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(proof_text(F.col("siblings")), 256).alias("proof_sha256"),
+        found.alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,5 +163,8 @@ QUERIES = {
         op8_quality_rules,
         op9_mixing,
         op10_sharding,
+        op11_ranked_search,
+        op12_merkle_manifest,
+        op13_url_filter,
     )
 }
