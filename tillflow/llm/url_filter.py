@@ -29,7 +29,8 @@ HIDDEN = (
 )
 TAG = r"(?i)<(?:link|meta)\b[^>]*>"
 CANONICAL = (
-    r"""(?is)^<link\b.*[\s"']rel\s*=\s*(?:"[^"]*\bcanonical\b|'[^']*\bcanonical\b|canonical[\s/>])"""
+    r"""(?is)^<link\b.*[\s"']rel\s*=\s*"""
+    r"""(?:"(?:[^"]*\s)?canonical[\s"]|'(?:[^']*\s)?canonical[\s']|canonical[\s/>])"""
 )
 REFRESH = r"""(?is)^<meta\b.*[\s"']http-equiv\s*=\s*["']?refresh["'\s/>]"""
 HREF = r"""(?is)[\s"']href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
