@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillflow.operators import catalog, contracts
 from tillflow.operators.cdc import apply_scd1, apply_scd2
+from tillflow.operators.history import scd2_patch
 from tillflow.operators.expectations import Expectation, apply_expectations, expectation_counts
 from tillflow.operators.upsert import merge_upsert
 from tillflow.sources import schemas as s
@@ -193,3 +194,55 @@ def test_catalog(spark):
     assert spark.table(contract.name).count() == 0
     catalog.drop_table(spark, contract.name)
     assert not spark.catalog.tableExists(contract.name)
+
+
+def history_key(df):
+    return Counter(tuple(r) for r in df.select("k", "at", "t", "v", "valid_from", "valid_to").collect())
+
+
+PATCHED = dict(keys=["k"], sequence_by="at", tie_break=["t"])
+
+
+@settings(FEW, max_examples=4)
+@given(
+    st.lists(
+        st.lists(
+            st.tuples(
+                st.sampled_from(["a", "b", None]),
+                st.one_of(st.none(), st.integers(0, 40)),
+                st.integers(0, 2),
+                st.integers(0, 3),
+            ),
+            max_size=14,
+        ),
+        min_size=2,
+        max_size=2,
+    ),
+    st.sampled_from([1, 5, 100]),
+)
+def test_a_patched_history_is_the_whole_one(spark, batches, stretch):
+    schema = "k string, at int, t int, v int"
+    history = apply_scd2(None, spark.createDataFrame([], schema), stretch=stretch, **PATCHED)
+    for batch in [*batches, batches[-1]]:  # the last one once more changes nothing
+        changes = spark.createDataFrame(batch, schema)
+        patch = scd2_patch(history, changes, stretch=stretch, **PATCHED)
+        merged = merge_upsert(history, patch, ["k", "valid_from"], null_keys_match=True)
+        history = spark.createDataFrame(merged.collect(), merged.schema)
+    every = spark.createDataFrame([c for batch in batches for c in batch], schema)
+    assert history_key(history) == history_key(apply_scd2(None, every, stretch=stretch, **PATCHED))
+
+
+def test_a_patch_is_as_small_as_its_changes(spark):
+    day = 24 * 3600
+    versions = spark.range(20_000).selectExpr("concat('k', id % 20) as k", f"cast(id * {day} as int) as at", "0 as t", "0 as v")
+    shape = dict(stretch=30 * day, **PATCHED)
+    history = apply_scd2(None, versions, **shape)
+    late = spark.createDataFrame([("k3", 3 * day + 5, 0, 1), ("k3", 23 * day, 0, 1), ("new", 7, 0, 1)], "k string, at int, t int, v int")
+    found = scd2_patch(history, late, **shape).orderBy("k", "at").collect()
+    # The version before the first, it, the one of the same time as the second, and the new key.
+    assert [(r["k"], r["at"], r["v"], r["valid_to"]) for r in found] == [
+        ("k3", 3 * day, 0, 3 * day + 5),
+        ("k3", 3 * day + 5, 1, 23 * day),
+        ("k3", 23 * day, 1, 43 * day),
+        ("new", 7, 1, None),
+    ]

@@ -21,7 +21,7 @@ VALID_TO = "valid_to"
 STRETCH_SECONDS = 30 * 24 * 3600
 
 
-def _greatest_row(
+def greatest_row(
     rows: DataFrame, groups: Sequence[str], first: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """One row per group: the greatest by ``first``, then by all columns in order.
@@ -51,10 +51,11 @@ def apply_scd1(
     rows = changes.select(*columns)
     if target is not None:
         rows = target.select(*columns).unionByName(rows)
-    return _greatest_row(rows, keys, [sequence_by, *tie_break], columns)
+    return greatest_row(rows, keys, [sequence_by, *tie_break], columns)
 
 
-def _stretch(sequence: str, kind: T.DataType, seconds: int) -> Column:
+def stretch_of(sequence: str, kind: T.DataType, seconds: int) -> Column:
+    """The number of the stretch of time, or of numbers, that a value falls into."""
     if isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
         return F.floor(F.unix_timestamp(F.col(sequence).cast("timestamp")) / seconds)
     return F.floor(F.col(sequence) / seconds)
@@ -112,8 +113,8 @@ def apply_scd2(
     all changes again, so a history kept with ``track_cols`` has only the
     changes that opened a version; late changes are placed among these.
 
-    The history is read once and joined with nothing; give the part of it whose
-    keys may have changed, as ``streaming.sinks.write_keyed`` does. Rows
+    The history is read once, joined with nothing, and all of it is ordered;
+    ``history.scd2_patch`` gives only the versions that changes touch. Rows
     without a sequence cannot be placed and are left out. ``stretch`` bounds
     the work of a task and never changes the result.
     """
@@ -122,10 +123,10 @@ def apply_scd2(
     rows = changes.select(*columns)
     if history is not None:
         rows = history.select(*columns).unionByName(rows)
-    rows = _greatest_row(
+    rows = greatest_row(
         rows.filter(F.col(sequence_by).isNotNull()), [*keys, sequence_by], tie_break, columns
     )
-    cut = _stretch(sequence_by, changes.schema[sequence_by].dataType, stretch)
+    cut = stretch_of(sequence_by, changes.schema[sequence_by].dataType, stretch)
     if track_cols is not None:
         tracked = F.struct(*track_cols)
         compared = _beside(rows, keys, sequence_by, cut, tracked, False, "_before")

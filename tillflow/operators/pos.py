@@ -25,6 +25,7 @@ from tillflow.sources.schemas import (
 )
 
 REASONS = "error_reason"
+ROUTES = ("quarantine", "late", "clean")
 
 
 def decode_pos(payloads: DataFrame, as_of: AsOf = None, keep_raw: bool = False) -> DataFrame:

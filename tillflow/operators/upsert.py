@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AMBIGUOUS = "upsert: several source rows match one target key"
@@ -15,41 +15,60 @@ def merge_upsert(
     source: DataFrame,
     keys: Sequence[str] = ("transaction_id",),
     on_ambiguous: str = "error",
+    null_keys_match: bool = False,
 ) -> DataFrame:
     """Every target row whose key is in the source becomes a copy of that source
     row; source rows of unknown keys are added, all of them; the rest stays.
 
     Two source rows for one known key end the query. ``on_ambiguous`` may name
     a column instead: then the row with its greatest value is taken, of equal
-    values the greatest by all columns. NULL keys match nothing.
+    values the greatest by all columns. NULL keys match nothing, and pass by
+    the join; ``null_keys_match`` compares them like values.
 
-    Only keys are counted and only keys are read again from the target, so the
-    wide join is one. The source is read three times: persist it if it is
-    costly. A key that the target has often is split by adaptive execution,
-    since a source key has one row there or ends the query.
+    Matching, counting and adding are one full join on the keys, so a target
+    that is bucketed by them is not shuffled. The source is read twice. With
+    ``on_ambiguous`` the rows to add are a second join, against the target's
+    keys only.
     """
     keys = list(keys)
     columns = target.columns
+    present = F.lit(True)
+    if not null_keys_match:
+        for k in keys:
+            present = present & F.col(k).isNotNull()
+
+    def same(theirs: str) -> Column:
+        found = F.lit(True)
+        for k in keys:
+            mine, other = F.col(k), F.col(f"{theirs}{k}")
+            found = found & (mine.eqNullSafe(other) if null_keys_match else mine == other)
+        return found
+
+    def named(prefix: str) -> list[Column]:
+        return [F.col(k).alias(f"{prefix}{k}") for k in keys]
+
     incoming = source.select(*columns)
+    keyed = incoming.filter(present)
     if on_ambiguous == "error":
-        counts = incoming.groupBy(*keys).agg(F.count("*").alias("_n"))
-        offered = incoming.join(counts, keys).select(
-            *[F.col(k).alias(f"_key_{k}") for k in keys], "_n", F.struct(*columns).alias("_new")
-        )
+        counts = keyed.groupBy(*named("_count_")).agg(F.count("*").alias("_n"))
+        counted = keyed.join(counts, same("_count_"))
+        offered = counted.select(*named("_key_"), "_n", F.struct(*columns).alias("_new"))
     else:
-        newest = F.max(F.struct(F.col(on_ambiguous).alias("_order"), *columns)).alias("_new")
-        offered = incoming.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
-            newest, F.lit(1).alias("_n")
-        )
-    same_key = [F.col(k) == F.col(f"_key_{k}") for k in keys]
-    matched = target.join(offered, same_key, "left")
+        newest = F.max(F.struct(F.col(on_ambiguous).alias("_order"), *columns))
+        offered = keyed.groupBy(*named("_key_")).agg(newest.alias("_new"), F.lit(1).alias("_n"))
+    known = target.filter(present).withColumn("_known", F.lit(True))
+    matched = known.join(offered, same("_key_"), "full" if on_ambiguous == "error" else "left")
     # In the projection, not in a filter: the optimizer cannot move it anywhere else.
-    new = F.when(F.col("_n") > 1, F.raise_error(F.lit(AMBIGUOUS)).cast("boolean")).otherwise(
+    several = F.col("_known").isNotNull() & (F.col("_n") > 1)
+    new = F.when(several, F.raise_error(F.lit(AMBIGUOUS)).cast("boolean")).otherwise(
         F.col("_n").isNotNull()
     )
-    kept = matched.select(
+    merged = matched.select(
         *[F.when(new, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    known = target.select(*keys).distinct()
-    added = incoming.join(known, keys, "left_anti").select(*columns)
-    return kept.unionByName(added)
+    if on_ambiguous != "error":
+        there = known.select(*named("_key_")).distinct()
+        merged = merged.unionByName(keyed.join(there, same("_key_"), "left_anti"))
+    if null_keys_match:
+        return merged
+    return merged.unionByName(target.filter(~present)).unionByName(incoming.filter(~present))

@@ -242,10 +242,11 @@ def _merge(keys: str) -> str:
         rows as (
             select {_LATE}, row_hash % 2 = 0 as old, row_number() over (
                 partition by {keys}, row_hash % 2 order by row_hash, sku, store_id,
-                    ingested_time) as rn
+                    ingested_time) as rn,
+                bool_or(row_hash % 2 = 0) over (partition by {keys}) as known
             from flagged where len(reasons) = 0),
-        t as (select * from rows where old and rn = 1),
-        s as (select * from rows where not old and rn = 1)
+        t as (select * from rows where old),
+        s as (select * from rows where not old and (rn = 1 or not known))
         select transaction_id, item_sequence, sku, store_id, item_unit_price, ingested_time
         from t where not exists (select 1 from s where {on})
         union all
@@ -327,10 +328,24 @@ ORACLES = {
         from opened""",
     "stream_bronze": _BRONZE,
     "stream_routes": _ROUTES,
-    "stream_customers": f"""with {_GUARDED}
-        select {_NAMES}, {AS_OF} as ingestion_time, {AS_OF} as valid_from,
-            cast(null as timestamp) as valid_to from cleaned
-        qualify row_number() over (partition by customer_id order by {_TIES}) = 1""",
+    "stream_customers": f"""with {_GUARDED},
+        arrived as (
+            select {_NAMES}, {AS_OF} + to_days(cast(change_id % 3 as int)) as moment from cleaned
+            qualify row_number() over (
+                partition by customer_id, change_id % 3 order by {_TIES}) = 1)
+        select {_NAMES}, moment as ingestion_time, moment as valid_from,
+            lead(moment) over (partition by customer_id order by moment) as valid_to from arrived""",
+    "cust_files_by_name": f"""with {CUSTOMERS}
+        select {", ".join(
+            f"case when change_id % 3 < 2 then {n} end as {n}" if i > 3 else n
+            for i, n in enumerate(_NAMES.replace(chr(10), " ").replace(" ", "").split(",")))},
+            {AS_OF} as ingestion_time,
+            case change_id % 3
+                when 0 then case when fault < 50 then 'fault=' || fault || ';' else '' end
+                    || 'note=no. ' || change_id || ', "new"'
+                when 1 then '#17=see ' || change_id end as rescued,
+            change_id % 3 < 2 as has_path
+        from cust_raw""",
 }
 
 # Dates as text: a date and a midnight are not told apart by every reader.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -24,12 +24,21 @@ from tillflow.operators.cdc import apply_scd1, apply_scd2
 from tillflow.operators.expectations import expectation_counts
 from tillflow.operators.upsert import merge_upsert
 from tillflow.plans.derive import AS_OF, cust_raw, pos_raw
-from tillflow.sources.schemas import CUSTOMER_FIELDS, CUSTOMER_FILE, POS_BRONZE, POS_FIELDS, RESCUED
+from tillflow.sources.schemas import (
+    CUSTOMER_FIELDS,
+    CUSTOMER_FILE,
+    CUSTOMER_RAW,
+    POS_BRONZE,
+    POS_FIELDS,
+    RESCUED,
+)
 from tillflow.streaming import customer_job, pos_job, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Enough for the given tables; a slot of a large one has some hundred megabytes.
+QUERY_BUCKETS = 8
 KEYED = ("row_hash", "transaction_id", "item_sequence")
 
 
@@ -166,14 +175,19 @@ def pos_late_10min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merge(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> DataFrame:
-    """Half of the valid rows upserted into the other half, one row per key in each."""
+    """Half of the valid rows upserted into the other half.
+
+    Copies of a key stay in the target, and in the source where the target
+    doesn't have the key; two source rows for a known key would end the query.
+    """
     flagged = _flagged(spark, sf_dir)
     rows = pos.valid(flagged, also=("row_hash",)).withColumn("old", F.expr("row_hash % 2 = 0"))
     first = W.partitionBy(*keys, "old").orderBy("row_hash", "sku", "store_id", "ingested_time")
-    rows = rows.withColumn("rn", F.row_number().over(first)).filter("rn = 1")
+    rows = rows.withColumn("rn", F.row_number().over(first))
+    rows = rows.withColumn("known", F.max("old").over(W.partitionBy(*keys)))
     columns = ["transaction_id", "item_sequence", "sku", "store_id", "item_unit_price", "ingested_time"]
-    target, source = rows.filter("old").select(*columns), rows.filter("not old").select(*columns)
-    return merge_upsert(target, source, keys)
+    source = rows.filter("not old and (rn = 1 or not known)")
+    return merge_upsert(rows.filter("old").select(*columns), source.select(*columns), keys)
 
 
 @_query
@@ -270,7 +284,12 @@ def _payload_job(spark: SparkSession, sf_dir: str) -> pos_job.PosConfig:
     pos.to_keyed_json(rows).select("value").write.text(f"{root}/payloads")
     stamp = F.from_json("value", "ingested_time timestamp").getField("ingested_time")
     return pos_job.PosConfig(
-        root, "text", {"path": f"{root}/payloads"}, trigger=pos_job.DRAIN, as_of=stamp
+        root,
+        "text",
+        {"path": f"{root}/payloads"},
+        trigger=pos_job.DRAIN,
+        as_of=stamp,
+        buckets=QUERY_BUCKETS,
     )
 
 
@@ -293,7 +312,7 @@ def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, config.path("quarantined"), contracts.POS_QUARANTINED.schema
     )
     late = sinks.read_appended(spark, config.path("late"), contracts.POS_LATE_ARRIVALS.schema)
-    clean = sinks.read_keyed(spark, config.path("cleaned"), contracts.POS_CLEANED.schema)
+    clean = sinks.read_keyed(spark, config.clean_table())
     tables = [("quarantine", bad), ("late", late), ("clean", clean)]
     parts = [
         df.select(
@@ -311,18 +330,68 @@ def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _customer_files(rows: DataFrame, path: str, names: Sequence[str]) -> None:
+    """Files with a header, nulls as bare empty fields."""
+    writer = rows.select(*names).write.mode("append").option("header", "true")
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    writer.options(nullValue="", emptyValue='""', **blanks).csv(path)
+
+
 @_query
 def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer files through both jobs; the history that results.
+    """Customer files through both jobs in three runs; the history that results.
 
-    All changes arrive at one moment here, so each customer has one version,
-    chosen by the tie-break.
+    The changes of a run arrive at one moment, and the last run's moment lies
+    between those of the others: its changes are late.
     """
     root = _fresh(spark, "customers")
     raw = cust_raw(spark, sf_dir)
-    raw.select(*CUSTOMER_FILE.fieldNames()).write.option("header", "true").option(
-        "nullValue", ""
-    ).option("emptyValue", '""').csv(f"{root}/files")
-    config = customer_job.CustomerConfig(f"{root}/files", root, AS_OF)
-    customer_job.run_customers(spark, config)
-    return sinks.read_keyed(spark, config.path("history"), customer_job.HISTORY)
+    for part in (0, 2, 1):
+        arriving = raw.filter(F.col("change_id") % 3 == part)
+        _customer_files(arriving, f"{root}/files", CUSTOMER_FILE.fieldNames())
+        config = customer_job.CustomerConfig(
+            f"{root}/files", root, f"2026-01-0{part + 1} 00:00:00", QUERY_BUCKETS
+        )
+        customer_job.run_customers(spark, config)
+    return sinks.read_keyed(spark, config.history_table())
+
+
+@_query
+def cust_files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of files with the columns in other orders, with foreign columns and misfit lines.
+
+    A third of the changes has two foreign columns, a third comes in reverse
+    order with a comment behind the last field, a third stops after the email.
+    """
+    root = _fresh(spark, "files")
+    names, raw = CUSTOMER_FILE.fieldNames(), cust_raw(spark, sf_dir)
+    kind = F.col("change_id") % 3
+    foreign = raw.filter(kind == 0).withColumn("note", F.concat(F.lit("no. "), "change_id", F.lit(', "new"')))
+    foreign = foreign.withColumn("fault", F.when(F.col("fault") < 50, F.col("fault")))
+    _customer_files(foreign, f"{root}/foreign", ["note", *names[8:], *names[:8], "fault"])
+    quoted = [F.coalesce(F.concat(F.lit('"'), n, F.lit('"')), F.lit("")) for n in names]
+    for name, chosen in (
+        ("long", F.concat_ws(",", *quoted[::-1], F.concat(F.lit("see "), "change_id"))),
+        ("short", F.concat_ws(",", *quoted[:4])),
+    ):
+        rows = raw.filter(kind == (1 if name == "long" else 2))
+        # Lines as they are: one column whose name is the header.
+        head = ",".join(names[::-1] if name == "long" else names)
+        lines = rows.select(chosen.alias(head)).write.option("header", "true")
+        lines.option("sep", "\x01").option("quote", "").csv(f"{root}/{name}")
+    config = customer_job.CustomerConfig(f"{root}/*", f"{root}-out", AS_OF)
+    customer_job.run_bronze(spark, config)
+    found = sinks.read_appended(spark, config.path("raw"), CUSTOMER_RAW)
+    rescued = F.from_json(RESCUED, "map<string,string>")
+    other = F.map_filter(rescued, lambda key, _: key != "_file_path")
+    return found.select(
+        *names,
+        "ingestion_time",
+        F.array_join(
+            F.transform(
+                F.array_sort(F.map_entries(other)), lambda e: F.concat(e.key, F.lit("="), e.value)
+            ),
+            ";",
+        ).alias("rescued"),
+        F.coalesce(F.map_contains_key(rescued, "_file_path"), F.lit(False)).alias("has_path"),
+    )

@@ -9,11 +9,13 @@ from pyspark.sql import types as T
 
 from tillflow.functions.clock import AsOf, use_utc
 from tillflow.operators import contracts as c
-from tillflow.operators.cdc import VALID_FROM, VALID_TO, apply_scd1, apply_scd2
+from tillflow.operators.cdc import VALID_FROM, VALID_TO, apply_scd1
 from tillflow.operators.customers import customer_dead_letters, flag_customers, guarded_customers
+from tillflow.operators.history import scd2_patch
+from tillflow.operators.upsert import merge_upsert
 from tillflow.sources.schemas import CUSTOMER_CLEANED, CUSTOMER_FLAGGED, CUSTOMER_RAW, RESCUED
-from tillflow.sources.streams import read_customer_files
-from tillflow.streaming.sinks import append_batch, write_keyed
+from tillflow.sources.streams import customer_rows, read_customer_files
+from tillflow.streaming.sinks import BUCKETS, KeyedTable, append_batch, read_keyed, write_keyed
 
 KEYS = ("customer_id",)
 STATE = T.StructType([f for f in CUSTOMER_CLEANED if f.name != RESCUED])
@@ -35,15 +37,27 @@ DEAD_LETTERS = c.Contract(
 
 
 class CustomerConfig(NamedTuple):
-    """Folders lie below ``root``, which all executors share."""
+    """Folders lie below ``root``, which all executors share.
+
+    Jobs into the same root, one after the other, share its tables.
+    """
 
     files: str
     root: str
     as_of: AsOf = None
+    buckets: int = BUCKETS
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def current_table(self) -> KeyedTable:
+        return KeyedTable(self.path("current"), CUSTOMERS_STATE, KEYS, self.buckets)
+
+    def history_table(self) -> KeyedTable:
+        return KeyedTable(
+            self.path("history"), CUSTOMERS_HISTORY, (*KEYS, VALID_FROM), self.buckets
+        )
+
 
 def _drain(rows: DataFrame, checkpoint: str, each) -> None:
     writer = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -54,7 +68,7 @@ def run_bronze(spark: SparkSession, config: CustomerConfig) -> None:
     """Files that are new since the last run: raw rows, flagged rows, dead letters."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        kept = customer_rows(batch, config.as_of).persist()
         try:
             append_batch(kept, config.path("raw"), batch_id, c.CUSTOMERS_RAW)
             flagged = flag_customers(kept, config.as_of)
@@ -64,7 +78,7 @@ def run_bronze(spark: SparkSession, config: CustomerConfig) -> None:
         finally:
             kept.unpersist()
 
-    files = read_customer_files(spark, config.files, config.as_of)
+    files = read_customer_files(spark, config.files)
     _drain(files, config.path("checkpoints/bronze"), each)
 
 
@@ -77,18 +91,21 @@ def run_silver(spark: SparkSession, config: CustomerConfig) -> None:
             append_batch(cleaned, config.path("cleaned"), batch_id, c.CUSTOMERS_CLEANED)
             changes = cleaned.drop(RESCUED)
             write_keyed(
-                changes, config.path("current"), batch_id, CUSTOMERS_STATE, KEYS,
+                changes, config.current_table(), batch_id,
                 lambda now, more: apply_scd1(now, more, KEYS),
             )
+            history = config.history_table()
+            patch = scd2_patch(read_keyed(spark, history), changes, KEYS).persist()
             write_keyed(
-                changes, config.path("history"), batch_id, CUSTOMERS_HISTORY, KEYS,
-                lambda now, more: apply_scd2(now, more, KEYS),
+                patch, history, batch_id,
+                lambda now, more: merge_upsert(now, more, history.keys),
             )
+            patch.unpersist()
         finally:
             cleaned.unpersist()
 
     flagged = spark.readStream.schema(CUSTOMER_FLAGGED).parquet(config.path("flagged"))
-    _drain(flagged.drop("batch_id"), config.path("checkpoints/silver"), each)
+    _drain(flagged.select(*CUSTOMER_FLAGGED.fieldNames()), config.path("checkpoints/silver"), each)
 
 
 def run_customers(spark: SparkSession, config: CustomerConfig) -> None:

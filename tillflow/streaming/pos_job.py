@@ -6,31 +6,39 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tillflow.functions.clock import AsOf, use_utc
 from tillflow.operators import contracts as c
 from tillflow.operators.pos import (
+    ROUTES,
     decode_pos,
     flag_pos,
     late,
     on_time,
     quarantine,
-    route_counts,
     valid,
     with_lateness,
+    with_route,
 )
 from tillflow.sources.schemas import POS_BRONZE
 from tillflow.sources.streams import read_payloads, read_table_stream
-from tillflow.streaming.sinks import append_batch, upsert_sink
+from tillflow.streaming.sinks import BUCKETS, KeyedTable, append_batch, stream_id, upsert_sink
 
 INTERVAL = "60 seconds"
 DRAIN = "available_now"
 
 
 class PosConfig(NamedTuple):
-    """Folders lie below ``root``, which all executors share."""
+    """Folders lie below ``root``, which all executors share.
+
+    The clean table is bucketed by ``keys``; ``slot`` is what a batch of it
+    overwrites (see ``sinks.KeyedTable``). A second job into the same root adds
+    to the appended tables and upserts into the clean one; the two must not
+    write at the same time.
+    """
 
     root: str
     payload_format: str = "kafka"
@@ -39,10 +47,19 @@ class PosConfig(NamedTuple):
     trigger: str = INTERVAL
     keys: Sequence[str] = ("transaction_id",)
     as_of: AsOf = None
+    buckets: int = BUCKETS
+    slot: str | None = None
+    bronze: str = "bronze"
+    checkpoints: str = "checkpoints"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def clean_table(self) -> KeyedTable:
+        return KeyedTable(
+            self.path("cleaned"), c.POS_CLEANED, self.keys, self.buckets, self.slot
+        )
+
 
 def _triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
     """``trigger`` is an interval, or ``available_now`` to drain what is there and stop."""
@@ -60,27 +77,31 @@ def write_bronze(
     return writer.toTable(table) if table else writer.start(path)
 
 
-def route_batch(batch: DataFrame, batch_id: int, config: PosConfig) -> dict[str, int]:
+def route_batch(
+    batch: DataFrame, batch_id: int, config: PosConfig, stream: str | None = None
+) -> dict[str, int]:
     """One bronze batch to the quarantine, late and clean tables; rows per route.
 
-    The batch is flagged once, against one moment, and kept for the four reads
-    of it; kept rows that are lost with an executor are computed again. Each
-    sink takes a repeated batch as the same batch.
+    The batch is flagged once, against one moment, and kept for the writes;
+    rows that are lost with an executor are computed again. Rows are counted
+    while the first write reads them, without a job of its own. Each sink
+    takes a repeated batch of the same stream as the same batch.
     """
+    stream = stream or stream_id(batch.sparkSession)
     # One moment for all reads of the batch.
     now = config.as_of if config.as_of is not None else dt.datetime.now(dt.timezone.utc)
-    flagged = flag_pos(with_lateness(batch), now).persist()
+    seen = Observation()
+    counts = [F.count_if(F.col("route") == route).alias(route) for route in ROUTES]
+    routed = with_route(flag_pos(with_lateness(batch), now))
+    flagged = routed.observe(seen, *counts).persist()
     try:
-        counts = {r["route"]: r["n_rows"] for r in route_counts(flagged).collect()}
         checked = valid(flagged)
         append_batch(
-            quarantine(flagged), config.path("quarantined"), batch_id, c.POS_QUARANTINED
-        )
-        append_batch(late(checked), config.path("late"), batch_id, c.POS_LATE_ARRIVALS)
-        upsert_sink(
-            on_time(checked), config.path("cleaned"), batch_id, c.POS_CLEANED, config.keys
+            quarantine(flagged), config.path("quarantined"), batch_id, c.POS_QUARANTINED, stream
         )
-        return counts
+        append_batch(late(checked), config.path("late"), batch_id, c.POS_LATE_ARRIVALS, stream)
+        upsert_sink(on_time(checked), config.clean_table(), batch_id, stream)
+        return {route: n for route, n in seen.get.items() if n}
     finally:
         flagged.unpersist()
 
@@ -90,17 +111,17 @@ def start_bronze(spark: SparkSession, config: PosConfig) -> StreamingQuery:
     rows = decode_pos(payloads, config.as_of)
     # The silver stream needs the folder to be there before a first batch is.
     empty = spark.createDataFrame([], POS_BRONZE)
-    empty.write.mode("append").parquet(config.path("bronze"))
+    empty.write.mode("append").parquet(config.path(config.bronze))
     return write_bronze(
-        rows, config.path("bronze"), config.path("checkpoints/bronze"), config.trigger
+        rows, config.path(config.bronze), config.path(f"{config.checkpoints}/bronze"), config.trigger
     )
 
 
 def start_silver(spark: SparkSession, config: PosConfig) -> StreamingQuery:
-    bronze = read_table_stream(spark, config.path("bronze"), POS_BRONZE, **config.table_options)
+    bronze = read_table_stream(spark, config.path(config.bronze), POS_BRONZE, **config.table_options)
     writer = bronze.writeStream.foreachBatch(
         lambda batch, batch_id: route_batch(batch, batch_id, config)
-    ).option("checkpointLocation", config.path("checkpoints/silver"))
+    ).option("checkpointLocation", config.path(f"{config.checkpoints}/silver"))
     return _triggered(writer, config.trigger).start()
 
 
