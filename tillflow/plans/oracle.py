@@ -328,6 +328,23 @@ ORACLES = {
         from opened""",
     "stream_bronze": _BRONZE,
     "stream_routes": _ROUTES,
+    "stream_supervised": _ROUTES,
+    "stream_named_table": _BRONZE,
+    "pos_catalog": f"""with {FLAGGED}, clean as (
+            select * from flagged where len(reasons) = 0 and not is_late)
+        select transaction_id, sequence_ as item_sequence, sku, ingested_time,
+            2 * count(*) over () as n_twice, 0 as n_emptied, false as dropped_exists from clean""",
+    "stream_expectations": f"""with {CUST_FLAGGED},
+        kept as (select *, change_id % 3 as batch from flagged where len(reasons) = 0),
+        counted as (
+            select batch, count(*) as n_judged,
+                count(*) filter (customer_id is null) as valid_id,
+                count(*) filter (not coalesce({_COMPLETE}, false)) as completed_profile,
+                count(*) filter (not coalesce({_AGED}, false)) as realistic_age,
+                count(*) filter (len(reasons) > 0) as no_upstream_failures
+            from kept group by batch)
+        unpivot counted on valid_id, completed_profile, realistic_age, no_upstream_failures
+            into name expectation value n_violations""",
     "stream_customers": f"""with {_GUARDED},
         arrived as (
             select {_NAMES}, {AS_OF} + to_days(cast(change_id % 3 as int)) as moment from cleaned

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -18,21 +19,23 @@ from tillflow.functions.pos_rules import (
     strict_missing_rules,
 )
 from tillflow.functions.reasons import add_reasons, reasons
-from tillflow.operators import contracts, customers, pos
+from tillflow.operators import catalog, contracts, customers, pos
 from tillflow.operators.catalog import preview
 from tillflow.operators.cdc import apply_scd1, apply_scd2
 from tillflow.operators.expectations import expectation_counts
 from tillflow.operators.upsert import merge_upsert
-from tillflow.plans.derive import AS_OF, cust_raw, pos_raw
+from tillflow.plans.derive import AS_OF, cust_raw, pos_raw, table
 from tillflow.sources.schemas import (
     CUSTOMER_FIELDS,
     CUSTOMER_FILE,
+    CUSTOMER_FLAGGED,
     CUSTOMER_RAW,
     POS_BRONZE,
     POS_FIELDS,
     RESCUED,
 )
-from tillflow.streaming import customer_job, pos_job, sinks
+from tillflow.sources.streams import read_payloads, read_table_stream
+from tillflow.streaming import customer_job, expectation_log, pos_job, sinks, supervisor
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -293,21 +296,8 @@ def _payload_job(spark: SparkSession, sf_dir: str) -> pos_job.PosConfig:
     )
 
 
-@_query
-def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A drained stream of payload files into the bronze table."""
-    config = _payload_job(spark, sf_dir)
-    pos_job.start_bronze(spark, config).awaitTermination()
-    return spark.read.schema(POS_BRONZE).parquet(config.path("bronze"))
-
-
-@_query
-def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads to bronze to the three tables, and what the tables hold then."""
-    config = _payload_job(spark, sf_dir)
-    pos_job.start_bronze(spark, config).awaitTermination()
-    silver = config._replace(as_of=AS_OF)
-    pos_job.start_silver(spark, silver).awaitTermination()
+def _route_tables(spark: SparkSession, config: pos_job.PosConfig) -> DataFrame:
+    """What the three tables of a job hold."""
     bad = sinks.read_appended(
         spark, config.path("quarantined"), contracts.POS_QUARANTINED.schema
     )
@@ -330,6 +320,24 @@ def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@_query
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drained stream of payload files into the bronze table."""
+    config = _payload_job(spark, sf_dir)
+    pos_job.start_bronze(spark, config).awaitTermination()
+    return spark.read.schema(POS_BRONZE).parquet(config.path("bronze"))
+
+
+@_query
+def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads to bronze to the three tables, and what the tables hold then."""
+    config = _payload_job(spark, sf_dir)
+    pos_job.start_bronze(spark, config).awaitTermination()
+    silver = config._replace(as_of=AS_OF)
+    pos_job.start_silver(spark, silver).awaitTermination()
+    return _route_tables(spark, config)
+
+
 def _customer_files(rows: DataFrame, path: str, names: Sequence[str]) -> None:
     """Files with a header, nulls as bare empty fields."""
     writer = rows.select(*names).write.mode("append").option("header", "true")
@@ -395,3 +403,96 @@ def cust_files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("rescued"),
         F.coalesce(F.map_contains_key(rescued, "_file_path"), F.lit(False)).alias("has_path"),
     )
+
+
+@_query
+def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations per batch of a stream of flagged profiles, which arrive in three batches."""
+    root = _fresh(spark, "guarded")
+    raw = cust_raw(spark, sf_dir)
+    for part in range(3):
+        flagged = customers.flag_customers(raw.filter(F.col("change_id") % 3 == part), AS_OF)
+        flagged.write.mode("append").parquet(f"{root}/flagged")
+        arriving = read_table_stream(spark, f"{root}/flagged", CUSTOMER_FLAGGED)
+        expectation_log.run_guarded(
+            spark, arriving, f"{root}/cleaned", f"{root}/checkpoint", f"{root}/counts", AS_OF
+        )
+    counts = expectation_log.expectation_log(spark, f"{root}/counts")
+    return counts.select("batch", "expectation", "n_judged", "n_violations")
+
+
+@_query
+def stream_named_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload files drained into a table of the catalog, and once more with nothing new."""
+    config = _payload_job(spark, sf_dir)
+    name = f"pos_bronze_{uuid.uuid4().hex}"
+    for _ in range(2):
+        payloads = read_payloads(spark, config.payload_format, config.payload_options)
+        rows = pos.decode_pos(payloads, config.as_of)
+        checkpoint = config.path("checkpoints/named")
+        pos_job.write_bronze(rows, "", checkpoint, pos_job.DRAIN, name).awaitTermination()
+    return spark.table(name)
+
+
+@_query
+def stream_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both queries at an interval, side by side under supervision, until all rows are routed."""
+    config = _payload_job(spark, sf_dir)._replace(trigger="1 second")
+    silver = config._replace(as_of=AS_OF)
+    watched = supervisor.Supervisor(
+        spark,
+        {
+            "bronze": lambda: pos_job.start_bronze(spark, config),
+            "silver": lambda: pos_job.start_silver(spark, silver),
+        },
+    )
+    n_rows = table(spark, sf_dir, "lineitem").count()
+
+    def routed() -> int:
+        done = 0
+        for progress in watched.queries["silver"].recentProgress if "silver" in watched.queries else []:
+            done += progress.numInputRows
+        return done
+
+    def until_done() -> None:
+        while routed() < n_rows and not ended.wait(0.5):
+            pass
+        watched.stop()
+
+    ended = threading.Event()
+    looker = threading.Thread(target=until_done, daemon=True)
+    looker.start()
+    try:
+        watched.run()
+    finally:
+        ended.set()
+        looker.join()
+    return _route_tables(spark, config)
+
+
+@_query
+def pos_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is created twice, filled twice, replaced, filled again and previewed whole."""
+    name = f"{contracts.POS_CLEANED.name}_{uuid.uuid4().hex}"
+    rows = pos.on_time(pos.valid(_flagged(spark, sf_dir)))
+    catalog.create_table(spark, contracts.POS_CLEANED, name)
+    catalog.fill_table(rows, contracts.POS_CLEANED, name)
+    catalog.create_table(spark, contracts.POS_CLEANED, name)
+    catalog.fill_table(rows, contracts.POS_CLEANED, name)
+    twice = spark.table(name).count()
+    catalog.replace_table(spark, contracts.POS_CLEANED, name)
+    emptied = spark.table(name).count()
+    catalog.fill_table(rows, contracts.POS_CLEANED, name)
+    dropped = f"{name}_gone"
+    catalog.create_table(spark, contracts.POS_CLEANED, dropped)
+    catalog.drop_table(spark, dropped)
+    found = spark.table(name)
+    return found.select(
+        "transaction_id",
+        "item_sequence",
+        "sku",
+        "ingested_time",
+        F.lit(twice).alias("n_twice"),
+        F.lit(emptied).alias("n_emptied"),
+        F.lit(spark.catalog.tableExists(dropped)).alias("dropped_exists"),
+    )

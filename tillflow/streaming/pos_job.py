@@ -26,6 +26,7 @@ from tillflow.operators.pos import (
 from tillflow.sources.schemas import POS_BRONZE
 from tillflow.sources.streams import read_payloads, read_table_stream
 from tillflow.streaming.sinks import BUCKETS, KeyedTable, append_batch, stream_id, upsert_sink
+from tillflow.streaming.supervisor import Supervisor
 
 INTERVAL = "60 seconds"
 DRAIN = "available_now"
@@ -125,25 +126,28 @@ def start_silver(spark: SparkSession, config: PosConfig) -> StreamingQuery:
     return _triggered(writer, config.trigger).start()
 
 
-def run_pos(spark: SparkSession, config: PosConfig) -> None:
-    """Both queries: drained one after the other, or side by side until one ends.
+def supervised(spark: SparkSession, config: PosConfig, retries: int = 3) -> Supervisor:
+    """Both queries of the flow; each is started again from its checkpoint if it fails."""
+    use_utc(spark)
+    starts = {
+        "bronze": lambda: start_bronze(spark, config),
+        "silver": lambda: start_silver(spark, config),
+    }
+    return Supervisor(spark, starts, retries)
+
+
+def run_pos(spark: SparkSession, config: PosConfig, retries: int = 0) -> None:
+    """Both queries: drained one after the other, or side by side until one fails.
 
-    An error of one ends both and is raised.
+    An error of one ends both and is raised, after ``retries`` restarts.
     """
-    use_utc(spark)
-    started: list[StreamingQuery] = []
-    try:
-        started.append(start_bronze(spark, config))
-        if config.trigger == DRAIN:
-            started[0].awaitTermination()
-        started.append(start_silver(spark, config))
-        if config.trigger == DRAIN:
-            started[1].awaitTermination()
-        else:
-            spark.streams.awaitAnyTermination()
-    finally:
-        for query in started:
-            query.stop()
-    for query in started:
-        if query.exception() is not None:
-            raise query.exception()
+    if config.trigger == DRAIN:
+        use_utc(spark)
+        for start in (start_bronze, start_silver):
+            query = start(spark, config)
+            try:
+                query.awaitTermination()
+            finally:
+                query.stop()
+    else:
+        supervised(spark, config, retries).run()
