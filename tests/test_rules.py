@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tillflow.functions import domains as d
 from tillflow.functions.pos_rules import REQUIRED_FIELDS
+from tillflow.functions.reasons import FIRED, Rule, failing, reasons, with_reasons
 from tillflow.operators import customers, pos
 from tillflow.sources.schemas import CUSTOMER_FILE, POS_PAYLOAD
 
@@ -179,3 +182,25 @@ def test_decoding(spark):
     )
     assert [r["payload"] for r in found] == payloads
     assert all(r["sku"] is None for r in found[1:])
+
+
+def test_a_number_and_a_list_say_the_same(spark):
+    rules = [Rule(f"r{i}", F.when(F.col("x") != 9, F.col("x") % (i + 2) == 0)) for i in range(63)]
+    df = with_reasons(spark.range(500).select((F.col("id") * 7919).alias("x")).unionAll(
+        spark.createDataFrame([(9,), (None,), (0,)], "x bigint")), "found", rules)
+    both = df.select("x", FIRED, "found", reasons(rules).alias("listed")).collect()
+    for r in both:
+        assert r["found"] == r["listed"]
+        assert r[FIRED] == sum(1 << int(code[1:]) for code in r["found"])
+    everything = next(r for r in both if r["x"] == 0)
+    assert len(everything["found"]) == 63 and everything[FIRED] == (1 << 63) - 1
+    with pytest.raises(ValueError, match="63"):
+        with_reasons(df, "more", rules + rules)
+    assert with_reasons(df.select("x"), "none", []).filter(F.size("none") == 0).count() == 503
+
+
+def test_filters_read_the_number(spark):
+    df = with_reasons(spark.range(4).withColumnRenamed("id", "x"), "found", [Rule("odd", F.col("x") % 2 == 1)])
+    assert [r["x"] for r in df.filter(failing(df, "found")).collect()] == [1, 3]
+    listed = df.drop(FIRED)
+    assert [r["x"] for r in listed.filter(failing(listed, "found")).collect()] == [1, 3]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillflow.functions import domains as d
 from tillflow.functions.clock import AsOf, instant
 from tillflow.functions.customer_rules import customer_rules
-from tillflow.functions.reasons import reasons
+from tillflow.functions.reasons import FIRED, codes_of, failing, fired
 from tillflow.operators.expectations import Expectation, apply_expectations
 from tillflow.sources.schemas import CUSTOMER_CLEANED, CUSTOMER_FIELDS, CUSTOMER_TYPES, RESCUED
 
@@ -34,23 +34,29 @@ def flag_customers(raw: DataFrame, as_of: AsOf = None, also: Sequence[str] = ())
     """Typed columns and all reasons against the row; nothing is dropped.
 
     The rules read the raw text, and the row is stamped anew with ``as_of``.
+    The reasons are there as a number as well, which tables don't keep.
     """
-    return raw.select(
+    rules = customer_rules()
+    judged = raw.select(
         *map(_typed, CUSTOMER_FIELDS),
         instant(as_of).alias("ingestion_time"),
         RESCUED,
-        reasons(customer_rules()).alias(REASONS),
+        fired(rules).alias(FIRED),
         *also,
     )
+    known = [c for c in judged.columns if c not in (FIRED, *also)]
+    return judged.select(*known, codes_of(FIRED, rules).alias(REASONS), *also, FIRED)
 
 
 def customer_dead_letters(flagged: DataFrame) -> DataFrame:
-    return flagged.filter(F.size(REASONS) > 0).withColumn("is_corrupted", F.lit(True))
+    bad = flagged.filter(failing(flagged, REASONS)).drop(FIRED)
+    return bad.withColumn("is_corrupted", F.lit(True))
 
 
 def customers_cleaned(flagged: DataFrame) -> DataFrame:
     """Rows without reasons, in the columns of the cleaned table."""
-    return flagged.filter(F.size(REASONS) == 0).select(*CUSTOMER_CLEANED.fieldNames())
+    kept = flagged.filter(~failing(flagged, REASONS))
+    return kept.select(*CUSTOMER_CLEANED.fieldNames())
 
 
 def _filled(name: str) -> Column:
@@ -77,6 +83,6 @@ def guarded_customers(
     also: Sequence[str] = (),
 ) -> DataFrame:
     """The cleaned table: rows without reasons that meet all expectations."""
-    candidates = F.size(REASONS) == 0
+    candidates = ~failing(flagged, REASONS)
     kept = apply_expectations(flagged, customer_expectations(as_of), observe_as, where=candidates)
     return kept.select(*CUSTOMER_CLEANED.fieldNames(), *also)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillflow.functions import domains as d
 from tillflow.functions.clock import AsOf, instant
 from tillflow.functions.pos_rules import pos_rules
-from tillflow.functions.reasons import reasons
+from tillflow.functions.reasons import failing, with_reasons
 from tillflow.sources.schemas import (
     POS_CLEAN,
     POS_FIELDS,
@@ -72,14 +72,14 @@ def with_lateness(
 
 
 def flag_pos(df: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Typed twins and the list of all reasons against the row; nothing is dropped."""
-    return cast_pos(df).withColumn(REASONS, reasons(pos_rules(as_of)))
+    """Typed twins and all reasons against the row, as a number and a list; nothing is dropped."""
+    return with_reasons(cast_pos(df), REASONS, pos_rules(as_of))
 
 
 def quarantine(flagged: DataFrame) -> DataFrame:
     """Rows with at least one reason: raw text, reasons, flag."""
-    failing = flagged.filter(F.size(REASONS) > 0).withColumn("is_corrupted", F.lit(True))
-    return failing.select(*POS_QUARANTINE.fieldNames())
+    bad = flagged.filter(failing(flagged, REASONS)).withColumn("is_corrupted", F.lit(True))
+    return bad.select(*POS_QUARANTINE.fieldNames())
 
 
 def _typed(checked: DataFrame, also: Sequence[str]) -> DataFrame:
@@ -93,8 +93,7 @@ def _typed(checked: DataFrame, also: Sequence[str]) -> DataFrame:
 
 def valid(flagged: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Rows without reasons (an absent list counts as empty), typed; ``also`` keeps more columns."""
-    none = F.col(REASONS).isNull() | (F.size(REASONS) == 0)
-    return _typed(flagged.filter(none), also)
+    return _typed(flagged.filter(~failing(flagged, REASONS)), also)
 
 
 def late(checked: DataFrame) -> DataFrame:
@@ -108,7 +107,7 @@ def on_time(checked: DataFrame) -> DataFrame:
 def with_route(flagged: DataFrame) -> DataFrame:
     """``route``: which of the three tables the row belongs to."""
     route = (
-        F.when(F.size(REASONS) > 0, F.lit("quarantine"))
+        F.when(failing(flagged, REASONS), F.lit("quarantine"))
         .when(F.col("is_late"), F.lit("late"))
         .otherwise(F.lit("clean"))
     )

@@ -11,20 +11,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.functions.clock import use_utc
 from tillflow.functions.pos_rules import (
     business_rules,
     format_rules,
     missing_rules,
     strict_missing_rules,
 )
-from tillflow.functions.reasons import add_reasons, reasons
+from tillflow.functions.reasons import FIRED, add_reasons, reasons, with_reasons
 from tillflow.operators import catalog, contracts, customers, pos
 from tillflow.operators.catalog import preview
 from tillflow.operators.cdc import apply_scd1, apply_scd2
 from tillflow.operators.expectations import expectation_counts
 from tillflow.operators.upsert import merge_upsert
 from tillflow.plans.derive import AS_OF, cust_raw, pos_raw, table
+from tillflow.session import prepare
 from tillflow.sources.schemas import (
     CUSTOMER_FIELDS,
     CUSTOMER_FILE,
@@ -64,7 +64,7 @@ def _portable(df: DataFrame) -> DataFrame:
 
 def _query(make: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _portable(make(use_utc(spark), sf_dir))
+        return _portable(make(prepare(spark), sf_dir))
 
     run.__doc__ = make.__doc__
     QUERIES[make.__name__] = run
@@ -76,7 +76,7 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profiles(df: DataFrame) -> DataFrame:
-    return df.drop(RESCUED)
+    return df.drop(RESCUED, FIRED)
 
 
 def _cust_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +110,7 @@ def pos_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _reasons_query(name: str, rules: Callable[[], list]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         typed = pos.cast_pos(pos_raw(spark, sf_dir))
-        return typed.select(*KEYED, reasons(rules()).alias("reasons"))
+        return with_reasons(typed, "reasons", rules()).select(*KEYED, "reasons")
 
     run.__name__ = name
     _query(run)
@@ -412,7 +412,7 @@ def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = cust_raw(spark, sf_dir)
     for part in range(3):
         flagged = customers.flag_customers(raw.filter(F.col("change_id") % 3 == part), AS_OF)
-        flagged.write.mode("append").parquet(f"{root}/flagged")
+        flagged.drop(FIRED).write.mode("append").parquet(f"{root}/flagged")
         arriving = read_table_stream(spark, f"{root}/flagged", CUSTOMER_FLAGGED)
         expectation_log.run_guarded(
             spark, arriving, f"{root}/cleaned", f"{root}/checkpoint", f"{root}/counts", AS_OF

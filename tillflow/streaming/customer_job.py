@@ -7,12 +7,14 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillflow.functions.clock import AsOf, use_utc
+from tillflow.functions.clock import AsOf
+from tillflow.functions.reasons import FIRED
 from tillflow.operators import contracts as c
 from tillflow.operators.cdc import VALID_FROM, VALID_TO, apply_scd1
 from tillflow.operators.customers import customer_dead_letters, flag_customers, guarded_customers
 from tillflow.operators.history import scd2_patch
 from tillflow.operators.upsert import merge_upsert
+from tillflow.session import prepare
 from tillflow.sources.schemas import CUSTOMER_CLEANED, CUSTOMER_FLAGGED, CUSTOMER_RAW, RESCUED
 from tillflow.sources.streams import customer_rows, read_customer_files
 from tillflow.streaming.sinks import BUCKETS, KeyedTable, append_batch, read_keyed, write_keyed
@@ -72,7 +74,7 @@ def run_bronze(spark: SparkSession, config: CustomerConfig) -> None:
         try:
             append_batch(kept, config.path("raw"), batch_id, c.CUSTOMERS_RAW)
             flagged = flag_customers(kept, config.as_of)
-            append_batch(flagged, config.path("flagged"), batch_id, c.CUSTOMERS_FLAGGED)
+            append_batch(flagged.drop(FIRED), config.path("flagged"), batch_id, c.CUSTOMERS_FLAGGED)
             dead = customer_dead_letters(flagged)
             append_batch(dead, config.path("dead_letters"), batch_id, DEAD_LETTERS)
         finally:
@@ -110,6 +112,6 @@ def run_silver(spark: SparkSession, config: CustomerConfig) -> None:
 
 def run_customers(spark: SparkSession, config: CustomerConfig) -> None:
     """Bronze, then silver; a failed expectation ends the run before silver is written."""
-    use_utc(spark)
+    prepare(spark)
     run_bronze(spark, config)
     run_silver(spark, config)

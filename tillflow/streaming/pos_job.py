@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tillflow.functions.clock import AsOf, use_utc
+from tillflow.functions.clock import AsOf
 from tillflow.operators import contracts as c
 from tillflow.operators.pos import (
     ROUTES,
@@ -23,6 +23,7 @@ from tillflow.operators.pos import (
     with_lateness,
     with_route,
 )
+from tillflow.session import prepare
 from tillflow.sources.schemas import POS_BRONZE
 from tillflow.sources.streams import read_payloads, read_table_stream
 from tillflow.streaming.sinks import BUCKETS, KeyedTable, append_batch, stream_id, upsert_sink
@@ -128,7 +129,7 @@ def start_silver(spark: SparkSession, config: PosConfig) -> StreamingQuery:
 
 def supervised(spark: SparkSession, config: PosConfig, retries: int = 3) -> Supervisor:
     """Both queries of the flow; each is started again from its checkpoint if it fails."""
-    use_utc(spark)
+    prepare(spark)
     starts = {
         "bronze": lambda: start_bronze(spark, config),
         "silver": lambda: start_silver(spark, config),
@@ -142,7 +143,7 @@ def run_pos(spark: SparkSession, config: PosConfig, retries: int = 0) -> None:
     An error of one ends both and is raised, after ``retries`` restarts.
     """
     if config.trigger == DRAIN:
-        use_utc(spark)
+        prepare(spark)
         for start in (start_bronze, start_silver):
             query = start(spark, config)
             try:
