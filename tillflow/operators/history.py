@@ -9,7 +9,7 @@ versions to write: new ones, and those whose end or content is another now.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -61,6 +61,7 @@ def scd2_patch(
     tie_break: Sequence[str] = ("updated_at",),
     except_cols: Sequence[str] = (),
     stretch: int = STRETCH_SECONDS,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The versions that ``changes`` add to ``history``, or change in it.
 
@@ -70,8 +71,10 @@ def scd2_patch(
     changes. A change that meets a version of the same time takes its place if
     it is greater by ``tie_break`` and then all columns. Changes without a
     sequence can't be placed and are left out. ``stretch`` bounds the work of
-    a task and never changes the result.
+    a task and never changes the result. ``keep`` may persist or store what is
+    read several times, which is no larger than the changes.
     """
+    keep = keep or (lambda rows: rows)
     columns = [c for c in changes.columns if c not in except_cols]
     keys = list(keys)
     kind = changes.schema[sequence_by].dataType
@@ -88,7 +91,9 @@ def scd2_patch(
 
     known = changes.select(*columns).filter(F.col(sequence_by).isNotNull())
     arrived = timed(greatest_row(known, [*keys, sequence_by], tie_break, columns), sequence_by)
-    arrived = arrived.select("_key", "_seq", "_stretch", F.struct(*columns).alias("_change"))
+    arrived = keep(
+        arrived.select("_key", "_seq", "_stretch", F.struct(*columns).alias("_change"))
+    )
     times = timed(history, VALID_FROM)
     place = ["_key", "_seq"]
     concerned = times.join(arrived.select("_key").distinct(), "_key", "left_semi")
@@ -97,8 +102,8 @@ def scd2_patch(
     meeting = times.join(arrived.select("_key", "_seq", "_change"), place)
     greater = order(F.col("_change")) > order()
     replaced = meeting.filter(greater).select("_key", "_seq", "_change")
-    new = arrived.join(times.select(*place), place, "left_anti")
-    moved = _neighbours(old, new.select("_key", "_seq", "_stretch"))
+    new = keep(arrived.join(times.select(*place), place, "left_anti"))
+    moved = keep(_neighbours(old, new.select("_key", "_seq", "_stretch")))
     opened = new.join(moved.filter("_new").select("_key", "_seq", "_next"), place).select(
         *[F.col(f"_change.{c}").alias(c) for c in columns],
         F.col("_seq").alias(VALID_FROM),

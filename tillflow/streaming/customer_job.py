@@ -97,12 +97,19 @@ def run_silver(spark: SparkSession, config: CustomerConfig) -> None:
                 lambda now, more: apply_scd1(now, more, KEYS),
             )
             history = config.history_table()
-            patch = scd2_patch(read_keyed(spark, history), changes, KEYS).persist()
+            held: list[DataFrame] = []
+
+            def keep(rows: DataFrame) -> DataFrame:
+                held.append(rows.persist())
+                return held[-1]
+
+            patch = keep(scd2_patch(read_keyed(spark, history), changes, KEYS, keep=keep))
             write_keyed(
                 patch, history, batch_id,
                 lambda now, more: merge_upsert(now, more, history.keys),
             )
-            patch.unpersist()
+            for rows in held:
+                rows.unpersist()
         finally:
             cleaned.unpersist()
 
