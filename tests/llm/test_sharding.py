@@ -41,6 +41,44 @@ def test_even_bytes_with_a_hot_text(spark):
     assert len(sizes) == 8 and all(abs(s - mean) < 0.1 * mean for s in sizes.values())
 
 
+def loads(rows):
+    sizes = Counter()
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+    return sizes
+
+
+def test_equal_rows_without_ids_are_dealt_evenly(spark):
+    docs = [(None, "no id, and the same text for a third of all rows")] * 3000
+    docs += [(i, f"text {i} " * (1 + i % 5)) for i in range(6000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
+    rows = shard_by_bytes(df).collect()
+    check(rows, docs)
+    sizes = loads(rows)
+    mean = sum(sizes.values()) / 40
+    assert len(sizes) == 40 and all(abs(s - mean) < 0.05 * mean for s in sizes.values())
+
+
+def test_groups_lighter_than_a_shard_are_whole(spark):
+    docs = [(i, f"text {i} " * (1 + i % 5)) for i in range(4000)]
+    # Groups of a tenth to nine tenths of a shard, and one of two and a half.
+    share = sum(len(t) + 16 for _, t in docs) // 6
+    for g, part in enumerate([0.1, 0.3, 0.5, 0.7, 0.9, 2.5]):
+        text = f"group {g} " * 4
+        docs += [(10_000 + i, text) for i in range(int(part * share / (len(text) + 16)))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    rows = shard_by_bytes(df, shards=11).collect()
+    check(rows, docs)
+    sizes, shards, weights = loads(rows), defaultdict(set), Counter()
+    for r in rows:
+        shards[r["text_crc32"]].add(r["shard"])
+        weights[r["text_crc32"]] += r["size"]
+    mean = sum(sizes.values()) / 11
+    assert all(abs(s - mean) < 0.05 * mean for s in sizes.values())
+    assert all(len(s) == 1 for crc, s in shards.items() if weights[crc] <= mean)
+    assert max(map(len, shards.values())) > 1
+
+
 def test_equal_texts_share_a_shard(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     rows = shard_by_bytes(docs.unionByName(docs), shards=4).collect()
