@@ -1,4 +1,4 @@
-"""Mixing: targets against resharing by hand, budgets against all subsets, whole mixes."""
+"""Mixing: targets against resharing by hand, budgets against what lengths allow, whole mixes."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tests.llm.cases import WORD, edge_docs, edge_rows, empty_docs, rows_of
 from tillflow.llm.mixing import fit_budget, mix, mixture_targets
 
@@ -101,3 +103,17 @@ def test_targets_are_met_by_the_word(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     taken = mix(docs).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
     assert all(abs(r["sum(taken)"] - r["max(target)"]) < 50 for r in taken)
+
+
+def test_rows_without_ids_are_taken_alike_in_any_order(spark):
+    texts = [f"text {i} of some words here" for i in range(40)]
+
+    def taken(order):
+        rows = [(None, t, "a") for t in order]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+        df = df.withColumn("name", F.col("text"))
+        found = mix(df, share=0.5, row_col="name").filter("taken > 0").collect()
+        return sorted(r["name"] for r in found)
+
+    once = taken(texts)
+    assert once == taken(texts[::-1]) == taken(sorted(texts, key=hash)) and 0 < len(once) < 40

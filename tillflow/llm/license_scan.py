@@ -10,9 +10,11 @@ so a notice that stands in a third of all documents is one row here.
 Windows need no cue. A text is looked at for them if it shares so much of a
 template's weight that a cosine over the threshold is possible at all, and a
 window is scored if its cosine would reach the threshold were its other terms
-as light as terms can be. Both bounds lose nothing. A window must also share
-more than half of the template's different terms: where all lines with a cue
-have "licensed", a stray "by" may be most of the weight of a short template.
+as light as terms can be. These two bounds lose nothing. Two more decide what
+counts as a passage: a window is at most twice as long as the longest
+template, and it must share more than half of its template's different terms,
+since where all lines with a cue have "licensed", a stray "by" may be most of
+the weight of a short template.
 
 A document without a licence of its own takes that of the nearest directory
 above it that has a licence file. Directories, not documents, are joined with

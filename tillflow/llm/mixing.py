@@ -165,8 +165,9 @@ def mix(
 
     * A null text has no words; rows without words are never taken.
     * A null source is a source of its own, the last one.
-    * Null ids and rows that repeat an id share one hash; of a limit that falls
-      among them any takes its part, which leaves the same rows.
+    * Rows are drawn by a hash of id and text, so null and repeated ids are told
+      apart by their texts; of rows equal in both, any takes the part of a limit
+      that falls among them.
     * An empty table gives no rows; sources without words have target 0.
     * The same rows give the same mix, however they are partitioned.
     """
@@ -175,12 +176,10 @@ def mix(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
+        F.xxhash64(id_col, text_of(text_col), F.lit(seed)).alias("draw"),
     )
-    draw = F.xxhash64("id", F.lit(seed))
-    rows = rows.withColumn("draw", draw).withColumn(
-        "bucket", F.pmod("draw", F.lit(BUCKETS)).cast("int")
-    )
-    rows = stored(rows, "mix-rows")
+    bucket = F.pmod("draw", F.lit(BUCKETS)).cast("int")
+    rows = stored(rows.withColumn("bucket", bucket), "mix-rows")
     by_bucket = stored(
         rows.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")), "mix-counts"
     )
