@@ -1,47 +1,48 @@
 """Language-model scores by a weighted backoff automaton.
 
-Word n-grams up to order three, smoothed by absolute discounting over the
-add-0.1 unigrams, become the states and arcs of an automaton: a state is a
-history, an arc reads a word and has its probability, and a failure arc leads
-to the next shorter history at the cost of its backoff weight.
-
-Everything grows with the corpus: words and n-grams without bound, so nothing
-of the model is gathered or broadcast. Each n-gram that occurs twice or more
-is kept; singletons go into the backoff weights, and all histories sum to one.
-A task numbers the words of a block of its texts and writes the texts as
-numbers. The distinct words, then the distinct n-grams of a block are counted
-by a shuffle, a row per block and n-gram, and those kept come back to their
-block with count and backoff weight: the block's part of the automaton. An
-n-gram is sent only if both its parts are kept, since it is never more
-frequent than they are.
+Word n-grams up to order three are smoothed towards the next lower order, down
+to the add-0.1 unigrams: ``(count + PRIOR * lower) / (history's count + PRIOR)``.
+All n-grams of the training texts take part, singletons too, and the words
+after any history sum to one. They make an automaton: a state is a history, an
+arc reads a word at the cost of its log-probability and leads to the longest
+history that ends with it, and a failure arc reads nothing, costs the
+history's weight for all other words and leads to the next shorter history. A
+text is read once from left to right, carrying the state.
+
+The model grows with the corpus, so it is never gathered or broadcast. Texts
+are put into blocks of words as numbers. A block sends its different n-grams
+as sorted 64-bit hashes, cut into parts, one packed row for each part; a part's
+task adds up the blocks' counts and returns them in the same order. With them a
+block builds the states and arcs that its texts can meet. An n-gram is in a
+block once, so a frequent one costs a part at most one entry per block.
+
+Equal hashes count as equal n-grams. Among ten billion different ones, two or
+three are expected to share a hash with another.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import stored, text_of
 
-# No share of the corpus is asked of a history: MIN_COUNT alone decides.
-WORD_SHARE = 0.0
-GRAM_SHARE = 0.0
-MIN_COUNT = 2.0
 ORDER = 3
 ADDED = 0.1
-DISCOUNT = 0.5
-BLOCK_BYTES = 16 << 20
-ROWS = 100_000
-# Stands for the order of a block's texts, which come after all n-grams.
-TEXTS = 1 << 30
+# The weight of the next lower order, in occurrences of the history.
+PRIOR = 8.0
+# A block ends with the text that reaches this many tokens, so it is bounded by the longest text.
+BLOCK_TOKENS = 1 << 19
+# Parts have the n-grams of about this many blocks.
+PART_BLOCKS = 2
 
 # Not words, since they are blanks: the end and the start of a text.
 END = b"\n"
@@ -53,310 +54,303 @@ def tokens_of(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), END]
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32 by byte planes, deflated: about two bytes each."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+def _pack(numbers: np.ndarray, noise: int = 0) -> bytes:
+    """Numbers by byte planes as far as they are needed, deflated but for the lowest ``noise``."""
+    top = int(numbers.max()) if len(numbers) else 0
+    width = max(1, noise, (top.bit_length() + 7) // 8)
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
+    raw = np.ascontiguousarray(planes[:noise]).tobytes()
+    rest = zlib.compress(np.ascontiguousarray(planes[noise:]).tobytes(), 1)
+    return len(numbers).to_bytes(4, "little") + bytes([width, noise]) + raw + rest
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    n, width, noise = int.from_bytes(packed[:4], "little"), packed[4], packed[5]
+    raw = packed[6 : 6 + n * noise] + zlib.decompress(packed[6 + n * noise :])
+    numbers = np.zeros((n, 8), np.uint8)
+    numbers[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, n).T
+    return numbers.view("<u8").ravel()
 
 
-def _blocked(rows: DataFrame, kind: str) -> DataFrame:
-    """Blocks of texts as numbers (``ids``) and the words of each block (``word``).
+def _word_hash(word: bytes) -> int:
+    """The lowest bit tells words, which have it, from all else."""
+    known = xxhash.xxh3_64_intdigest(word)
+    return known & ~1 if word == START else known | 1
+
+
+def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams made of an n-gram and a word, both given by theirs."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + second
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) & ~np.uint64(1)
 
-    Word 0 is the start, used once by each text to learn from.
 
-    A block is a stretch of one task's rows, so its number, made of the task's
-    and a counter, is the same when a lost task runs again.
+def _blocked(rows: DataFrame, kind: str) -> DataFrame:
+    """A row per block: ids, marks and sizes of its texts, their words as numbers, the hashes
+    of the words.
+
+    Each text follows a start, word 0, and its size counts the start. A block is
+    a stretch of one task's rows, named by the task and a counter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-        task = TaskContext.get().partitionId()
-        block, held_bytes = task << 20, 0
+        block = TaskContext.get().partitionId() << 24
+        kind_of_id = None
+        ids, train, sizes, words = [], [], [], []
         number: dict[bytes, int] = {START: 0}
-        uses = np.zeros(1 << 16, np.int64)
-
-        def words() -> Iterator[pa.RecordBatch]:
-            names = list(number)
-            for lo in range(0, len(names), ROWS):
-                part = names[lo : lo + ROWS]
-                n = len(part)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "block": pa.array([block] * n, pa.int64()),
-                        "id": pa.nulls(n, schema.field("id").type),
-                        "train": pa.nulls(n, pa.bool_()),
-                        "n_tokens": pa.nulls(n, pa.int64()),
-                        "ids": pa.nulls(n, pa.binary()),
-                        "word": pa.array(part, pa.binary()),
-                        "number": pa.array(range(lo, lo + n), pa.int32()),
-                        "uses": pa.array(uses[lo : lo + n], pa.int64()),
-                    }
-                )
 
+        def row() -> pa.RecordBatch:
+            hashes = np.fromiter(map(_word_hash, number), np.uint64, len(number))
+            learnt = sum(size - 1 for size, marked in zip(sizes, train) if marked)
+            columns = [
+                pa.array([block], pa.int64()),
+                pa.array([learnt], pa.int64()),
+                pa.array([ids], pa.list_(kind_of_id)),
+                pa.array([train], pa.list_(pa.bool_())),
+                pa.array([sizes], pa.list_(pa.int64())),
+                pa.array([_pack(np.concatenate(words))], pa.binary()),
+                pa.array([hashes.astype("<u8").tobytes()], pa.binary()),
+            ]
+            names = ["block", "learnt", "ids", "train", "sizes", "words", "hashes"]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        held = 0
         for batch in batches:
-            schema = batch.schema
-            out: list[tuple] = []
-            for key, text, train in zip(
-                batch["id"], batch["text"], batch["train"].to_pylist()
-            ):
+            kind_of_id = batch.schema.field("id").type
+            columns = (batch[c] for c in ("id", "text", "train"))
+            for key, text, marked in zip(*columns):
                 tokens = tokens_of(text.as_py())
-                ids = np.fromiter(
-                    (number.setdefault(w, len(number)) for w in tokens), np.int64, len(tokens)
-                )
-                if len(number) > len(uses):
-                    uses = np.concatenate([uses, np.zeros(2 * len(number), np.int64)])
-                if train:
-                    np.add.at(uses, ids, 1)
-                    uses[0] += 1
-                held_bytes += 8 * len(tokens)
-                out.append((block, key, train, len(tokens), _pack(ids)))
-                if held_bytes > BLOCK_BYTES:
-                    yield _texts(out, schema)
-                    yield from words()
-                    out, number, held_bytes = [], {START: 0}, 0
-                    uses = np.zeros(1 << 16, np.int64)
+                numbers = np.zeros(len(tokens) + 1, np.uint64)
+                numbers[1:] = [number.setdefault(word, len(number)) for word in tokens]
+                ids.append(key.as_py())
+                train.append(marked.as_py())
+                sizes.append(len(numbers))
+                words.append(numbers)
+                held += len(numbers)
+                if held >= BLOCK_TOKENS:
+                    yield row()
+                    ids, train, sizes, words, held = [], [], [], [], 0
+                    number = {START: 0}
                     block += 1
-            if out:
-                yield _texts(out, schema)
-        if len(number) > 1:
-            yield from words()
+        if ids:
+            yield row()
 
     return rows.mapInArrow(
         run,
-        f"block bigint, id {kind}, train boolean, n_tokens bigint, ids binary,"
-        " word binary, number int, uses bigint",
+        f"block bigint, learnt bigint, ids array<{kind}>, train array<boolean>,"
+        " sizes array<bigint>, words binary, hashes binary",
     )
 
 
-def _texts(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    n = len(rows)
-    block, key, train, tokens, ids = zip(*rows)
-    return pa.RecordBatch.from_pydict(
-        {
-            "block": pa.array(block, pa.int64()),
-            "id": pa.array([k.as_py() for k in key], schema.field("id").type),
-            "train": pa.array(train, pa.bool_()),
-            "n_tokens": pa.array(tokens, pa.int64()),
-            "ids": pa.array(ids, pa.binary()),
-            "word": pa.nulls(n, pa.binary()),
-            "number": pa.nulls(n, pa.int32()),
-            "uses": pa.nulls(n, pa.int64()),
-        }
-    )
+class Level(NamedTuple):
+    """The different n-grams of one order in a block.
+
+    ``history`` and ``lower`` are places in the level below, of the n-gram
+    without its last and without its first word.
+    """
 
+    hashes: np.ndarray
+    uses: np.ndarray
+    history: np.ndarray
+    word: np.ndarray
+    lower: np.ndarray
 
-class Grams:
-    """The kept n-grams of one order in a block by their number there; words are order one."""
 
-    def __init__(self) -> None:
-        self.parts: list[list[np.ndarray]] = []
+class Block:
+    """The texts of a block and their n-grams. ``row`` has the columns of ``_blocked``."""
+
+    def __init__(self, row: dict, order: int) -> None:
+        self.ids, self.train, self.sizes = row["ids"], row["train"], row["sizes"]
+        self.words = _unpack(row["words"]).astype(np.int64)
+        self.starts = np.cumsum([0, *self.sizes[:-1]])
+        hashes = np.frombuffer(row["hashes"], "<u8")
+        size = len(hashes)
+        train = np.repeat(np.array(self.train, bool), self.sizes)
+        uses = np.bincount(self.words[train], minlength=size)
+        none = np.zeros(size, np.int64)
+        self.levels = [Level(hashes, uses, none, np.arange(size), none)]
+        place = self.words
+        for _ in range(1, order):
+            at = 1 + np.flatnonzero((place[:-1] >= 0) & (self.words[1:] > 0))
+            codes, number = np.unique(
+                place[at - 1] * size + self.words[at], return_inverse=True
+            )
+            history, word = codes // size, codes % size
+            lower = np.zeros(len(codes), np.int64)
+            lower[number] = place[at]
+            uses = np.bincount(number[train[at]], minlength=len(codes))
+            joined = _joined(self.levels[-1].hashes[history], hashes[word])
+            self.levels.append(Level(joined, uses, history, word, lower))
+            place = np.full(len(self.words), -1)
+            place[at] = number
 
-    def add(self, batch: pa.RecordBatch) -> None:
-        names = ("number", "gram", "n", "drop")
-        self.parts.append([batch[name].to_numpy(zero_copy_only=False) for name in names])
+    def sorted_grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """All hashes, and the order in which they are sent and come back."""
+        hashes = np.concatenate([level.hashes for level in self.levels])
+        return hashes, np.argsort(hashes, kind="stable")
 
-    def table(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number in the corpus (-1: not kept), count and log10 backoff weight."""
-        gram, n, drop = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
-        for number, *columns in self.parts:
-            for to, column in zip((gram, n, drop), columns):
-                to[number] = column
-        return gram, n, drop
 
+def _sent(blocks: DataFrame, order: int, part_bits: int) -> DataFrame:
+    """The n-grams of each block by parts of the hashes: sorted, as differences, and their uses."""
+    shift = 64 - part_bits
 
-class Level(NamedTuple):
-    """``place`` has the n-gram that ends at each word, by its number in the block, or -1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                held = Block(row, order)
+                hashes, by_hash = held.sorted_grams()
+                hashes = hashes[by_hash]
+                uses = np.concatenate([level.uses for level in held.levels])[by_hash]
+                parts = (hashes >> np.uint64(shift)).astype(np.int64)
+                edges = np.flatnonzero(np.diff(parts, prepend=-1, append=-1))
+                out = []
+                for lo, hi in zip(edges, edges[1:]):
+                    base = np.array([int(parts[lo]) << shift], np.uint64)
+                    steps = np.diff(hashes[lo:hi], prepend=base)
+                    out.append((int(parts[lo]), _pack(steps, 5), _pack(uses[lo:hi])))
+                part, packed, used = zip(*out)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "block": pa.array([row["block"]] * len(out), pa.int64()),
+                        "part": pa.array(part, pa.int64()),
+                        "grams": pa.array(packed, pa.binary()),
+                        "uses": pa.array(used, pa.binary()),
+                    }
+                )
 
-    place: np.ndarray
-    gram: np.ndarray
-    n: np.ndarray
-    drop: np.ndarray
-    chance: np.ndarray
+    return blocks.mapInArrow(run, "block bigint, part bigint, grams binary, uses binary")
 
 
-class Block:
-    """Texts and their part of the automaton."""
-
-    def __init__(self) -> None:
-        self.grams: dict[int, Grams] = {}
-        self.texts: list[tuple] = []
-
-    def row(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The texts' words in one row, each text after a start; where the starts are; which
-        words are to learn from."""
-        words, train, sizes = [], [], []
-        for _, trained, packed in self.texts:
-            ids = _unpack(packed)
-            words += [np.zeros(1, np.uint32), ids]
-            train.append(np.full(len(ids) + 1, trained))
-            sizes.append(len(ids) + 1)
-        starts = np.cumsum([0, *sizes[:-1]])
-        return np.concatenate(words).astype(np.int64), starts, np.concatenate(train)
-
-    def levels(self, words: np.ndarray, order: int, denominator: float) -> list[Level]:
-        size = int(words.max()) + 1
-        gram, n, drop = self.grams.get(1, Grams()).table(size)
-        place = np.where(gram[words] >= 0, words, -1)
-        found = [Level(place, gram, n, drop, (n + ADDED) / denominator)]
-        for k in range(2, order + 1):
-            codes, numbers, at = _longer(found[-1].place, words)
-            gram, n, drop = self.grams.get(k, Grams()).table(len(codes))
-            of_history = np.maximum(1, found[-1].n[codes // size])
-            place = np.full(len(words), -1)
-            place[at] = np.where(gram[numbers] >= 0, numbers, -1)
-            found.append(Level(place, gram, n, drop, (n - DISCOUNT) / of_history))
-        return found
-
-
-def _longer(place: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different n-grams one longer than those at ``place`` whose both parts are kept.
-
-    Returns their codes in order, and for each position where one ends the
-    place of its code and the position. Equal texts and parts give equal places.
+def _counted(sent: DataFrame, part_bits: int) -> DataFrame:
+    """For each block and part the counts in all training texts, in the order of the n-grams.
+
+    ``n_words``, in one row of a part, is its number of different training words.
     """
-    at = 1 + np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0) & (words[1:] > 0))
-    codes = place[at - 1] * (int(words.max()) + 1) + words[at]
-    codes, numbers = np.unique(codes, return_inverse=True)
-    return codes, numbers, at
-
-
-def _of_blocks(
-    batches: Iterator[pa.RecordBatch],
-    use: Callable[[int, Block, pa.DataType], Iterator[pa.RecordBatch]],
-) -> Iterator[pa.RecordBatch]:
-    """``use`` on each block of a task; its rows come together, the texts last."""
-    held, name, kind = Block(), None, None
-    for batch in batches:
-        kind = batch.schema.field("id").type
-        blocks = batch["block"].to_numpy(zero_copy_only=False)
-        orders = batch["order"].to_numpy(zero_copy_only=False)
-        edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(orders) != 0)) + 1
-        for lo, hi in zip([0, *edges], [*edges, len(blocks)]):
-            if lo == hi:
-                continue
-            if blocks[lo] != name:
-                if name is not None:
-                    yield from use(name, held, kind)
-                held, name = Block(), blocks[lo]
-            part = batch.slice(lo, hi - lo)
-            if orders[lo] == TEXTS:
-                columns = (part[c].to_pylist() for c in ("id", "train", "ids"))
-                held.texts.extend(zip(*columns))
-            else:
-                held.grams.setdefault(int(orders[lo]), Grams()).add(part)
-    if name is not None:
-        yield from use(name, held, kind)
-
-
-def _met(texts: DataFrame, levels: list[DataFrame], n_blocks: int) -> DataFrame:
-    """Texts and n-grams, block by block."""
-    no = F.lit(None)
-    kind = texts.schema["id"].dataType
-    both = texts.select(
-        "block", F.lit(TEXTS).alias("order"), no.cast("int").alias("number"),
-        no.cast("bigint").alias("gram"), no.cast("bigint").alias("n"),
-        no.cast("double").alias("drop"), "id", "train", "ids",
-    )
-    for k, level in enumerate(levels, 1):
-        drop = F.col("drop") if "drop" in level.columns else F.lit(0.0)
-        both = both.unionByName(
-            level.select(
-                "block", F.lit(k).alias("order"), "number", "gram", "n", drop.alias("drop"),
-                no.cast(kind).alias("id"), no.cast("boolean").alias("train"),
-                no.cast("binary").alias("ids"),
-            )
+    shift = 64 - part_bits
+
+    def count(rows: pa.Table) -> pa.Table:
+        base = np.uint64(rows["part"][0].as_py() << shift)
+        hashes = [np.cumsum(_unpack(p), dtype=np.uint64) + base for p in rows["grams"].to_pylist()]
+        uses = [_unpack(p) for p in rows["uses"].to_pylist()]
+        different, number = np.unique(np.concatenate(hashes), return_inverse=True)
+        # Sums of whole numbers are exact in doubles up to 2**53.
+        total = np.bincount(number, np.concatenate(uses), len(different)).astype(np.uint64)
+        ends = np.cumsum([len(h) for h in hashes])[:-1]
+        counts = [_pack(c) for c in np.split(total[number], ends)]
+        n_words = int(((different & np.uint64(1) == 1) & (total > 0)).sum())
+        return pa.table(
+            {
+                "block": rows["block"],
+                "part": rows["part"],
+                "counts": pa.array(counts, pa.binary()),
+                "n_words": pa.array([n_words] + [0] * (len(counts) - 1), pa.int64()),
+            }
         )
-    dealt = both.repartition(max(1, 3 * n_blocks), "block")
-    return dealt.sortWithinPartitions("block", "order")
-
 
-def _named(counted: DataFrame, *key: str) -> DataFrame:
-    """``gram``, a number for each different key, and ``first``, true in one of its rows."""
-    numbered = counted.withColumn("row", F.monotonically_increasing_id())
-    named = numbered.withColumn("gram", F.min("row").over(W.partitionBy(*key)))
-    return named.withColumn("first", F.col("row") == F.col("gram")).drop("row")
+    dealt = sent.repartition(1 << part_bits, "part")
+    return dealt.groupBy("part").applyInArrow(
+        count, "block bigint, part bigint, counts binary, n_words bigint"
+    )
 
 
-def _counted(met: DataFrame, order: int, denominator: float, least: float) -> DataFrame:
-    """The n-grams of this order with a count of ``least`` or more, in each block that has them.
+class Automaton:
+    """States, arcs and failure arcs for all that the texts of a block can meet.
 
-    ``below`` is the last word's probability after the history that is one shorter.
+    State 0 is the empty history and has an arc for each word of the block; the
+    histories of one word follow, then those of two, and so on. An arc is found
+    by its state and word. ``miss`` is the weight of a state's failure arc, which
+    leads to ``back``.
     """
 
-    def use(name: int, block: Block, _: pa.DataType) -> Iterator[pa.RecordBatch]:
-        words, _, train = block.row()
-        levels = block.levels(words, order - 1, denominator)
-        of_word, level = levels[0].gram, levels[-1]
-        codes, numbers, at = _longer(level.place, words)
-        uses = np.bincount(numbers[train[at]], minlength=len(codes))
-        ends = np.zeros(len(codes), np.int64)
-        ends[numbers] = at
-        for lo in range(0, len(codes), ROWS):
-            end = ends[lo : lo + ROWS]
-            columns = {
-                "block": np.full(len(end), name, np.int64),
-                "number": np.arange(lo, lo + len(end), dtype=np.int32),
-                "history": level.gram[level.place[end - 1]],
-                "word": of_word[words[end]],
-                "uses": uses[lo : lo + ROWS],
-                "below": level.chance[level.place[end]],
+    def __init__(self, levels: list[Level], counts: list[np.ndarray], denominator: float,
+                 prior: float) -> None:
+        self.size = len(levels[0].word)
+        first = np.cumsum([0, 1, *(len(level.word) for level in levels)])
+        keys, weights, targets = [], [], []
+        miss, back = [np.zeros(1)], [np.zeros(1, np.int64)]
+        chance = None
+        for k, (level, n) in enumerate(zip(levels, counts)):
+            if k == 0:
+                chance = (n + ADDED) / denominator
+                has_arc = level.word > 0  # the start is no word to read
+            else:
+                chance = (n + prior * chance[level.lower]) / (counts[k - 1][level.history] + prior)
+                has_arc = n > 0
+            arcs = np.flatnonzero(has_arc)
+            keys.append((first[k] + level.history[arcs]) * self.size + level.word[arcs])
+            weights.append(np.log10(chance[arcs]))
+            if k + 1 < len(levels):
+                # After words that the model doesn't know, the history is empty.
+                targets.append(np.where(n[arcs] > 0, first[k + 1] + arcs, 0))
+                miss.append(np.log10(prior / (n + prior)))
+                back.append(first[k] + level.lower)
+            else:
+                targets.append(first[k] + level.lower[arcs])
+        keys = np.concatenate(keys).tolist()
+        self.arcs = dict(zip(keys, range(len(keys))))
+        self.weights = np.concatenate(weights).tolist()
+        self.targets = np.concatenate(targets).tolist()
+        self.miss = np.concatenate(miss).tolist()
+        self.back = np.concatenate(back).tolist()
+        # Unigrams read from the empty history are state 0's first arcs.
+        self.alone = np.concatenate([np.zeros(1), weights[0]])
+        self.start = 1 if len(levels) > 1 else 0
+
+    def read(self, words: list[int]) -> float:
+        """The log10 probability of a text: one pass, by arcs and, where there is none, failures."""
+        arc_of, size = self.arcs.get, self.size
+        weights, targets, miss, back = self.weights, self.targets, self.miss, self.back
+        state, total = self.start, 0.0
+        for word in words:
+            arc = arc_of(state * size + word)
+            while arc is None:
+                total += miss[state]
+                state = back[state]
+                arc = arc_of(state * size + word)
+            total += weights[arc]
+            state = targets[arc]
+        return total
+
+
+def _scored(blocks: DataFrame, counted: DataFrame, kind: str, order: int, denominator: float,
+            prior: float, n_blocks: int) -> DataFrame:
+    """Each block meets its counts and reads its texts."""
+
+    def score(block: pa.Table, counts: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        held = Block(row, order)
+        hashes, by_hash = held.sorted_grams()
+        parts = sorted(zip(counts["part"].to_pylist(), counts["counts"].to_pylist()))
+        n = np.zeros(len(hashes), np.int64)
+        n[by_hash] = np.concatenate([_unpack(packed) for _, packed in parts])
+        n = np.split(n, np.cumsum([len(level.word) for level in held.levels])[:-1])
+        automaton = Automaton(held.levels, n, denominator, prior)
+        known = (held.words > 0) & (n[0][held.words] > 0)
+        known = np.add.reduceat(known.astype(np.int64), held.starts)
+        alone = np.add.reduceat(automaton.alone[held.words], held.starts)
+        texts = zip(held.starts.tolist(), held.sizes)
+        totals = [automaton.read(held.words[at + 1 : at + size].tolist()) for at, size in texts]
+        return pa.table(
+            {
+                "id": pa.array(held.ids, block.schema.field("ids").type.value_type),
+                "trained": pa.array(held.train, pa.bool_()),
+                "n_tokens": pa.array([size - 1 for size in held.sizes], pa.int64()),
+                "n_known": pa.array(known, pa.int64()),
+                "base_score": pa.array(alone, pa.float64()),
+                "score": pa.array(totals, pa.float64()),
             }
-            yield pa.RecordBatch.from_pydict({k: pa.array(c) for k, c in columns.items()})
+        )
 
-    found = met.mapInArrow(
-        lambda batches: _of_blocks(batches, use),
-        "block bigint, number int, history bigint, word bigint, uses bigint, below double",
-    )
-    # An n-gram is in a block once, so its window has a row per block at most.
-    n = F.sum("uses").over(W.partitionBy("history", "word"))
-    kept = found.withColumn("n", n).filter(F.col("n") >= least)
-    return _named(kept, "history", "word").drop("word", "uses")
-
-
-def _weighted(level: DataFrame, longer: DataFrame) -> DataFrame:
-    """``level`` with ``drop``, log10 of the backoff weights to ``longer``, zero if it has none."""
-    given = (
-        longer.filter("first")
-        .groupBy(F.col("history").alias("gram"))
-        .agg(F.sum(F.col("n") - DISCOUNT).alias("given"), F.sum("below").alias("rest"))
+    tasks = max(1, n_blocks)
+    dealt = blocks.repartition(tasks, "block").groupBy("block")
+    met = counted.select("block", "part", "counts").repartition(tasks, "block").groupBy("block")
+    return dealt.cogroup(met).applyInArrow(
+        score,
+        f"id {kind}, trained boolean, n_tokens bigint, n_known bigint, base_score double,"
+        " score double",
     )
-    left = F.greatest(F.lit(1e-12), 1.0 - F.col("given") / F.col("n"))
-    weight = left / F.greatest(F.lit(1e-12), 1.0 - F.col("rest"))
-    # Rounded, so that it doesn't hang on the order in which the sums were made.
-    drop = F.coalesce(F.round(F.log10(weight), 12), F.lit(0.0)).alias("drop")
-    columns = ["block", "number", "gram", "n"]
-    met = level.filter("gram >= 0").join(given.hint("merge"), "gram", "left")
-    others = level.filter("gram < 0").select(*columns, F.lit(0.0).alias("drop"))
-    return met.select(*columns, drop).unionByName(others)
-
-
-def _scores(block: Block, order: int, denominator: float) -> list[tuple]:
-    """A row per text: id, trained, tokens, known ones, log10 by unigrams and by the automaton.
-
-    A word takes the arc of the longest history that has one, after the failure
-    arcs of those that have none. Which histories a text is in hangs on its
-    words alone, so all words of a block are read at once, order by order.
-    """
-    words, starts, _ = block.row()
-    levels = block.levels(words, order, denominator)
-    alone = np.log10(levels[0].chance)[words]
-    alone[starts] = 0.0
-    total = alone.copy()
-    for history, level in zip(levels, levels[1:]):
-        fails = 1 + np.flatnonzero((history.place[:-1] >= 0) & (words[1:] > 0))
-        total[fails] += history.drop[history.place[fails - 1]]
-        arcs = np.flatnonzero(level.place >= 0)
-        total[arcs] = np.log10(level.chance[level.place[arcs]])
-    known = ((words > 0) & (levels[0].n[words] > 0)).astype(np.int64)
-    sums = [np.add.reduceat(x, starts).tolist() for x in (known, alone, total)]
-    sizes = np.diff([*starts, len(words)]) - 1
-    ids, trained, _ = zip(*block.texts)
-    return list(zip(ids, trained, sizes.tolist(), *sums))
 
 
 def lm_scores(
@@ -364,18 +358,14 @@ def lm_scores(
     train: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    word_share: float = WORD_SHARE,
-    gram_share: float = GRAM_SHARE,
     order: int = ORDER,
+    prior: float = PRIOR,
 ) -> DataFrame:
     """A row per row of ``docs``: id, ``trained``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` and ``score``, log10 probabilities by unigrams and by the automaton.
 
-    The model learns from the rows where ``train`` holds. Tokens are the words,
-    A-Z lower-cased, and one end per text.
-
-    An n-gram is kept if it occurs ``MIN_COUNT`` times or more in the training texts.
-    ``word_share`` and ``gram_share`` ask for more, as shares of the training tokens.
+    The model learns from the rows where ``train`` holds, all their n-grams up to
+    ``order``. Tokens are the words, A-Z lower-cased, and one end per text.
 
     * A null text counts as empty: its only token is the end.
     * A null ``train`` counts as false.
@@ -390,50 +380,12 @@ def lm_scores(
         F.coalesce(train, F.lit(False)).alias("train"),
     )
     blocks = stored(_blocked(rows, kind), "lm-blocks")
-    texts = blocks.filter("word is null").select("block", "id", "train", "n_tokens", "ids")
-    n_train = texts.filter("train").agg(F.sum("n_tokens")).first()[0] or 0
-    n_blocks = texts.select("block").distinct().count()
-    least = max(MIN_COUNT, n_train * gram_share)
-    # A word is in a block once, so its window has a row per block at most.
-    n = F.sum("uses").over(W.partitionBy("word"))
-    counted = _named(blocks.filter("word is not null").withColumn("n", n), "word")
-    marks = F.col("word").isin(START, END)
-    frequent = marks | (F.col("n") >= max(1.0, n_train * word_share))
-    is_word = F.col("word") != F.lit(START)
-    counted = stored(
-        counted.select(
-            "block",
-            "number",
-            "n",
-            (F.col("first") & (F.col("n") > 0) & is_word).alias("counts"),
-            F.when(frequent & (F.col("n") >= least), F.col("gram")).otherwise(-1).alias("gram"),
-        ),
-        "lm-words",
-    )
-    denominator = n_train + ADDED * (counted.filter("counts").count() + 1)
-    levels = [counted]
-    for k in range(2, order + 1):
-        # To count n-grams takes only words that can stand in one, and no ids.
-        parts = [levels[0].filter("gram >= 0"), *levels[1:]]
-        no_id = texts.withColumn("id", F.lit(None).cast("int"))
-        found = _counted(_met(no_id, parts, n_blocks), k, denominator, least)
-        levels.append(stored(found, f"lm-grams-{k}"))
-    levels[:-1] = [_weighted(level, longer) for level, longer in zip(levels, levels[1:])]
-
-    def use(_: int, block: Block, of_id: pa.DataType) -> Iterator[pa.RecordBatch]:
-        columns = zip(*_scores(block, order, denominator))
-        kinds = [of_id, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["id", "trained", "n_tokens", "n_known", "base_score", "score"],
-        )
-
-    scored = _met(texts, levels, n_blocks).mapInArrow(
-        lambda batches: _of_blocks(batches, use),
-        f"id {kind}, trained boolean, n_tokens bigint, n_known bigint, base_score double,"
-        " score double",
-    )
-    return scored.select(
+    n_blocks, n_train = blocks.agg(F.count("*"), F.coalesce(F.sum("learnt"), F.lit(0))).first()
+    part_bits = max(3, (n_blocks // PART_BLOCKS).bit_length())
+    counted = stored(_counted(_sent(blocks, order, part_bits), part_bits), "lm-counts")
+    n_words = counted.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    denominator = n_train + ADDED * (n_words + 1)
+    return _scored(blocks, counted, kind, order, denominator, prior, n_blocks).select(
         F.col("id").alias(id_col),
         "trained",
         "n_tokens",
