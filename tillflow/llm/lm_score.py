@@ -11,19 +11,25 @@ text is read once from left to right, carrying the state.
 
 The model grows with the corpus, so it is never gathered or broadcast. Texts
 are put into blocks of words as numbers. A block sends its different n-grams
-as sorted 64-bit hashes, cut into parts, one packed row for each part; a part's
-task adds up the blocks' counts and returns them in the same order. With them a
-block builds the states and arcs that its texts can meet. An n-gram is in a
-block once, so a frequent one costs a part at most one entry per block.
-
-Equal hashes count as equal n-grams. Among ten billion different ones, two or
-three are expected to share a hash with another.
+as sorted hashes, cut into parts, one packed row for each part; a part's task
+adds up the blocks' counts and returns them in the same order. With them a block
+builds the states and arcs that its texts can meet. An n-gram is in a block
+once, so a frequent one costs a part at most one entry per block.
+
+Equal hashes count as equal n-grams. They have twice as many bits as the number
+of tokens, up to 64, so that less than one pair is expected to share a hash;
+beyond four billion tokens about one n-gram in a billion does for each ten
+billion different ones.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 from typing import NamedTuple
 
 import numpy as np
@@ -78,6 +84,13 @@ def _word_hash(word: bytes) -> int:
     return known & ~1 if word == START else known | 1
 
 
+def _numbers() -> defaultdict[bytes, int]:
+    """Numbers of words in the order of their first use, from 0 for the start."""
+    number: defaultdict[bytes, int] = defaultdict(count().__next__)
+    number[START]
+    return number
+
+
 def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Hashes of n-grams made of an n-gram and a word, both given by theirs."""
     x = first * np.uint64(0x9E3779B97F4A7C15) + second
@@ -98,13 +111,14 @@ def _blocked(rows: DataFrame, kind: str) -> DataFrame:
         block = TaskContext.get().partitionId() << 24
         kind_of_id = None
         ids, train, sizes, words = [], [], [], []
-        number: dict[bytes, int] = {START: 0}
+        number = _numbers()
 
         def row() -> pa.RecordBatch:
             hashes = np.fromiter(map(_word_hash, number), np.uint64, len(number))
             learnt = sum(size - 1 for size, marked in zip(sizes, train) if marked)
             columns = [
                 pa.array([block], pa.int64()),
+                pa.array([held], pa.int64()),
                 pa.array([learnt], pa.int64()),
                 pa.array([ids], pa.list_(kind_of_id)),
                 pa.array([train], pa.list_(pa.bool_())),
@@ -112,7 +126,7 @@ def _blocked(rows: DataFrame, kind: str) -> DataFrame:
                 pa.array([_pack(np.concatenate(words))], pa.binary()),
                 pa.array([hashes.astype("<u8").tobytes()], pa.binary()),
             ]
-            names = ["block", "learnt", "ids", "train", "sizes", "words", "hashes"]
+            names = ["block", "tokens", "learnt", "ids", "train", "sizes", "words", "hashes"]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         held = 0
@@ -121,8 +135,8 @@ def _blocked(rows: DataFrame, kind: str) -> DataFrame:
             columns = (batch[c] for c in ("id", "text", "train"))
             for key, text, marked in zip(*columns):
                 tokens = tokens_of(text.as_py())
-                numbers = np.zeros(len(tokens) + 1, np.uint64)
-                numbers[1:] = [number.setdefault(word, len(number)) for word in tokens]
+                numbers = np.zeros(len(tokens) + 1, np.int64)
+                numbers[1:] = list(map(number.__getitem__, tokens))
                 ids.append(key.as_py())
                 train.append(marked.as_py())
                 sizes.append(len(numbers))
@@ -131,14 +145,14 @@ def _blocked(rows: DataFrame, kind: str) -> DataFrame:
                 if held >= BLOCK_TOKENS:
                     yield row()
                     ids, train, sizes, words, held = [], [], [], [], 0
-                    number = {START: 0}
+                    number = _numbers()
                     block += 1
         if ids:
             yield row()
 
     return rows.mapInArrow(
         run,
-        f"block bigint, learnt bigint, ids array<{kind}>, train array<boolean>,"
+        f"block bigint, tokens bigint, learnt bigint, ids array<{kind}>, train array<boolean>,"
         " sizes array<bigint>, words binary, hashes binary",
     )
 
@@ -185,23 +199,27 @@ class Block:
             place = np.full(len(self.words), -1)
             place[at] = number
 
-    def sorted_grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """All hashes, and the order in which they are sent and come back."""
+    def sorted_grams(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """All hashes in ``bits`` bits, sorted, and the order that sorts the n-grams."""
         hashes = np.concatenate([level.hashes for level in self.levels])
-        return hashes, np.argsort(hashes, kind="stable")
+        one = np.uint64(1)
+        short = ((hashes >> np.uint64(64 - bits)) & ~one) | (hashes & one)
+        by_hash = np.argsort(short, kind="stable")
+        return short[by_hash], by_hash
 
 
-def _sent(blocks: DataFrame, order: int, part_bits: int) -> DataFrame:
+def _sent(blocks: DataFrame, order: int, bits: int, part_bits: int) -> DataFrame:
     """The n-grams of each block by parts of the hashes: sorted, as differences, and their uses."""
-    shift = 64 - part_bits
+    shift = bits - part_bits
+    # The bytes of a difference that hold nothing to be deflated.
+    noise = max(0, bits - BLOCK_TOKENS.bit_length()) // 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 held = Block(row, order)
-                hashes, by_hash = held.sorted_grams()
-                hashes = hashes[by_hash]
+                hashes, by_hash = held.sorted_grams(bits)
                 uses = np.concatenate([level.uses for level in held.levels])[by_hash]
                 parts = (hashes >> np.uint64(shift)).astype(np.int64)
                 edges = np.flatnonzero(np.diff(parts, prepend=-1, append=-1))
@@ -209,7 +227,7 @@ def _sent(blocks: DataFrame, order: int, part_bits: int) -> DataFrame:
                 for lo, hi in zip(edges, edges[1:]):
                     base = np.array([int(parts[lo]) << shift], np.uint64)
                     steps = np.diff(hashes[lo:hi], prepend=base)
-                    out.append((int(parts[lo]), _pack(steps, 5), _pack(uses[lo:hi])))
+                    out.append((int(parts[lo]), _pack(steps, noise), _pack(uses[lo:hi])))
                 part, packed, used = zip(*out)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -223,14 +241,14 @@ def _sent(blocks: DataFrame, order: int, part_bits: int) -> DataFrame:
     return blocks.mapInArrow(run, "block bigint, part bigint, grams binary, uses binary")
 
 
-def _counted(sent: DataFrame, part_bits: int) -> DataFrame:
+def _counted(sent: DataFrame, bits: int, part_bits: int) -> DataFrame:
     """For each block and part the counts in all training texts, in the order of the n-grams.
 
     ``n_words``, in one row of a part, is its number of different training words.
     """
-    shift = 64 - part_bits
+    shift = bits - part_bits
 
-    def count(rows: pa.Table) -> pa.Table:
+    def add_up(rows: pa.Table) -> pa.Table:
         base = np.uint64(rows["part"][0].as_py() << shift)
         hashes = [np.cumsum(_unpack(p), dtype=np.uint64) + base for p in rows["grams"].to_pylist()]
         uses = [_unpack(p) for p in rows["uses"].to_pylist()]
@@ -251,7 +269,7 @@ def _counted(sent: DataFrame, part_bits: int) -> DataFrame:
 
     dealt = sent.repartition(1 << part_bits, "part")
     return dealt.groupBy("part").applyInArrow(
-        count, "block bigint, part bigint, counts binary, n_words bigint"
+        add_up, "block bigint, part bigint, counts binary, n_words bigint"
     )
 
 
@@ -259,71 +277,78 @@ class Automaton:
     """States, arcs and failure arcs for all that the texts of a block can meet.
 
     State 0 is the empty history and has an arc for each word of the block; the
-    histories of one word follow, then those of two, and so on. An arc is found
-    by its state and word. ``miss`` is the weight of a state's failure arc, which
-    leads to ``back``.
+    histories of one word follow, then those of two, and so on. The arcs of a
+    state lie together, from ``first`` of the state to that of the next, ordered
+    by word. ``miss`` is the weight of a state's failure arc, which leads to
+    ``back``.
     """
 
     def __init__(self, levels: list[Level], counts: list[np.ndarray], denominator: float,
                  prior: float) -> None:
-        self.size = len(levels[0].word)
-        first = np.cumsum([0, 1, *(len(level.word) for level in levels)])
-        keys, weights, targets = [], [], []
+        size = len(levels[0].word)
+        # Of the histories by their length. Without longer ones, there is the empty one only.
+        states = np.cumsum([0, 1, *(len(level.word) for level in levels[:-1])])
+        chance = (counts[0] + ADDED) / denominator
+        words, weights, targets, degrees = [], [], [], []
         miss, back = [np.zeros(1)], [np.zeros(1, np.int64)]
-        chance = None
         for k, (level, n) in enumerate(zip(levels, counts)):
-            if k == 0:
-                chance = (n + ADDED) / denominator
-                has_arc = level.word > 0  # the start is no word to read
-            else:
-                chance = (n + prior * chance[level.lower]) / (counts[k - 1][level.history] + prior)
-                has_arc = n > 0
-            arcs = np.flatnonzero(has_arc)
-            keys.append((first[k] + level.history[arcs]) * self.size + level.word[arcs])
+            if k > 0:
+                of_history = counts[k - 1][level.history]
+                chance = (n + prior * chance[level.lower]) / (of_history + prior)
+            arcs = np.flatnonzero(n > 0) if k > 0 else np.arange(size)
+            degrees.append(
+                np.bincount(level.history[arcs], minlength=states[k + 1] - states[k])
+            )
+            words.append(level.word[arcs])
             weights.append(np.log10(chance[arcs]))
             if k + 1 < len(levels):
                 # After words that the model doesn't know, the history is empty.
-                targets.append(np.where(n[arcs] > 0, first[k + 1] + arcs, 0))
+                targets.append(np.where(n[arcs] > 0, states[k + 1] + arcs, 0))
                 miss.append(np.log10(prior / (n + prior)))
-                back.append(first[k] + level.lower)
+                back.append(states[k] + level.lower)
             else:
-                targets.append(first[k] + level.lower[arcs])
-        keys = np.concatenate(keys).tolist()
-        self.arcs = dict(zip(keys, range(len(keys))))
-        self.weights = np.concatenate(weights).tolist()
-        self.targets = np.concatenate(targets).tolist()
-        self.miss = np.concatenate(miss).tolist()
-        self.back = np.concatenate(back).tolist()
-        # Unigrams read from the empty history are state 0's first arcs.
-        self.alone = np.concatenate([np.zeros(1), weights[0]])
+                targets.append(states[k] + level.lower[arcs])
+        self.alone = weights[0]
+        self.alone[0] = 0.0  # the start is no word to read
+        self.words = array("q", np.concatenate(words).astype(np.int64).tobytes())
+        self.weights = array("d", np.concatenate(weights).tobytes())
+        self.targets = array("q", np.concatenate(targets).astype(np.int64).tobytes())
+        first = np.cumsum(np.concatenate([[0], *degrees]))
+        self.first = array("q", first.astype(np.int64).tobytes())
+        self.miss = array("d", np.concatenate(miss).tobytes())
+        self.back = array("q", np.concatenate(back).astype(np.int64).tobytes())
         self.start = 1 if len(levels) > 1 else 0
 
     def read(self, words: list[int]) -> float:
         """The log10 probability of a text: one pass, by arcs and, where there is none, failures."""
-        arc_of, size = self.arcs.get, self.size
+        first, word_of, find = self.first, self.words, bisect_left
         weights, targets, miss, back = self.weights, self.targets, self.miss, self.back
         state, total = self.start, 0.0
         for word in words:
-            arc = arc_of(state * size + word)
-            while arc is None:
+            while state:
+                end = first[state + 1]
+                arc = find(word_of, word, first[state], end)
+                if arc < end and word_of[arc] == word:
+                    break
                 total += miss[state]
                 state = back[state]
-                arc = arc_of(state * size + word)
+            else:
+                arc = word  # state 0 has the arcs of all words, in order
             total += weights[arc]
             state = targets[arc]
         return total
 
 
-def _scored(blocks: DataFrame, counted: DataFrame, kind: str, order: int, denominator: float,
-            prior: float, n_blocks: int) -> DataFrame:
+def _scored(blocks: DataFrame, counted: DataFrame, kind: str, order: int, bits: int,
+            denominator: float, prior: float, n_blocks: int) -> DataFrame:
     """Each block meets its counts and reads its texts."""
 
     def score(block: pa.Table, counts: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
         held = Block(row, order)
-        hashes, by_hash = held.sorted_grams()
+        _, by_hash = held.sorted_grams(bits)
         parts = sorted(zip(counts["part"].to_pylist(), counts["counts"].to_pylist()))
-        n = np.zeros(len(hashes), np.int64)
+        n = np.zeros(len(by_hash), np.int64)
         n[by_hash] = np.concatenate([_unpack(packed) for _, packed in parts])
         n = np.split(n, np.cumsum([len(level.word) for level in held.levels])[:-1])
         automaton = Automaton(held.levels, n, denominator, prior)
@@ -380,12 +405,15 @@ def lm_scores(
         F.coalesce(train, F.lit(False)).alias("train"),
     )
     blocks = stored(_blocked(rows, kind), "lm-blocks")
-    n_blocks, n_train = blocks.agg(F.count("*"), F.coalesce(F.sum("learnt"), F.lit(0))).first()
+    zero = F.lit(0)
+    sums = [F.coalesce(F.sum(name), zero) for name in ("tokens", "learnt")]
+    n_blocks, n_tokens, n_train = blocks.agg(F.count("*"), *sums).first()
+    bits = min(64, max(32, 8 * -(-2 * n_tokens.bit_length() // 8)))
     part_bits = max(3, (n_blocks // PART_BLOCKS).bit_length())
-    counted = stored(_counted(_sent(blocks, order, part_bits), part_bits), "lm-counts")
-    n_words = counted.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    counted = stored(_counted(_sent(blocks, order, bits, part_bits), bits, part_bits), "lm-counts")
+    n_words = counted.agg(F.coalesce(F.sum("n_words"), zero)).first()[0]
     denominator = n_train + ADDED * (n_words + 1)
-    return _scored(blocks, counted, kind, order, denominator, prior, n_blocks).select(
+    return _scored(blocks, counted, kind, order, bits, denominator, prior, n_blocks).select(
         F.col("id").alias(id_col),
         "trained",
         "n_tokens",
