@@ -116,3 +116,20 @@ def test_line_counts_documents_not_rows(spark):
     assert line_dedup(docs).agg(F.sum("n_dropped")).first()[0] == 0
     more = docs.union(spark.createDataFrame([(None, line), (None, line)], docs.schema))
     assert line_dedup(more).agg(F.sum("n_dropped")).first()[0] == 2
+
+
+def test_many_lost_lines(spark):
+    """All lines of long documents are lost but those between, before and behind them."""
+    shared = [f"line {i} of a passage that many documents share word by word" for i in range(20_000)]
+    rows = []
+    for doc in range(6):
+        own = [f"{doc}", *(x for line in shared for x in (line, "-"))]
+        rows.append((doc, "\n".join([*own, shared[0].upper() + " "])))
+    rows.append((3, "\n".join(shared[:2])))  # a second text of an id
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r[0], r[2]): (r[1], r[3]) for r in line_dedup(docs).collect()}
+    assert len(found) == 7
+    assert found[3, 2] == ("", 2)
+    assert found[5, 40_002] == (rows[5][1], 0)
+    for doc in range(5):
+        assert found[doc, 40_002] == ("\n".join([str(doc), *["-"] * 20_000]), 20_001)

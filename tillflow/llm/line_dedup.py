@@ -3,7 +3,8 @@
 Everything is built of DataFrame functions. A document's long lines become
 128-bit keys, each once per row. Rows of a key are counted first, summed before
 the shuffle; keys with enough of them are then counted by distinct document.
-Texts are moved once, to meet the keys that their document loses.
+Lines of lost keys are met by document and key, as positions; a text is moved
+once, to meet its positions, and put together from the stretches between them.
 """
 
 from __future__ import annotations
@@ -31,6 +32,18 @@ def _is_long(line: Column, min_chars: int) -> Column:
     return (F.length(line) >= min_chars) & (F.length(_normal(line)) >= min_chars)
 
 
+def _between(lines: str, edges: str) -> Column:
+    """The lines between the positions in the sorted array ``edges``, in time linear in both."""
+    return F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), F.size(edges) - 2),
+            lambda i: F.slice(
+                F.col(lines), F.get(edges, i) + 2, F.get(edges, i + 1) - F.get(edges, i) - 1
+            ),
+        )
+    )
+
+
 def line_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -56,11 +69,14 @@ def line_dedup(
     rows = docs.select(F.struct(*names).alias("doc"))
     own = F.col("doc").getField(id_col)
     text = F.split(text_of(F.col("doc").getField(text_col)), "\n", -1)
-    lines = F.filter(text, lambda line: _is_long(line, min_chars))
-    keys = F.array_distinct(F.transform(lines, _key))
-    keyed = rows.select(own.alias("id"), keys.alias("keys"))
-    keyed = stored(keyed.filter(F.size("keys") > 0), "line-keys")
-    holders = keyed.select("id", F.explode("keys").alias("key"))
+    # By position; lines that are too short have none.
+    keys = F.transform(text, lambda line: F.when(_is_long(line, min_chars), _key(line)))
+    # Rows of one id may have different texts.
+    content = F.xxhash64(F.col("doc").getField(text_col)).alias("content")
+    keyed = rows.select(own.alias("id"), content, keys.alias("keys"))
+    keyed = stored(keyed.filter(F.exists("keys", lambda key: key.isNotNull())), "line-keys")
+    different = F.array_compact(F.array_distinct("keys"))
+    holders = keyed.select("id", F.explode(different).alias("key"))
     # A key has no more documents than rows: only keys of enough rows are counted by document.
     often = stored(
         holders.groupBy("key")
@@ -80,20 +96,28 @@ def line_dedup(
         .select("key"),
         "line-frequent",
     )
-    lost = (
-        held.join(frequent, "key")
-        .filter(F.col("id") != F.col("last"))
-        .groupBy("id")
-        .agg(F.collect_set("key").alias("lost"))
+    lost = stored(
+        held.join(frequent, "key").filter(F.col("id") != F.col("last")).select("id", "key").distinct(),
+        "line-lost",
+    )
+    places = keyed.join(lost.select("id").distinct(), "id", "left_semi").select(
+        "id", "content", F.size("keys").alias("n"), F.posexplode("keys").alias("place", "key")
     )
-    stays = F.filter(
-        "lines",
-        lambda line: ~(_is_long(line, min_chars) & F.array_contains(F.col("lost"), _key(line))),
+    before, end = F.array(F.lit(-1)), F.array(F.max("n"))
+    dropped = (
+        places.filter("key is not null")
+        .join(lost, ["id", "key"])
+        .groupBy("id", "content")
+        .agg(F.concat(before, F.sort_array(F.collect_set("place")), end).alias("edges"))
     )
     met = (
-        rows.withColumn("lines", text)
-        .join(lost, own == F.col("id"), "left")
-        .withColumn("stays", F.when(F.col("lost").isNull(), F.col("lines")).otherwise(stays))
+        rows.select("doc", own.alias("own"), content.alias("own_content"), text.alias("lines"))
+        .join(
+            dropped,
+            (F.col("own") == F.col("id")) & F.col("own_content").eqNullSafe(F.col("content")),
+            "left",
+        )
+        .withColumn("stays", F.coalesce(_between("lines", "edges"), F.col("lines")))
     )
     return met.select(
         *[
