@@ -63,6 +63,53 @@ def test_budget_bounds(counts, budget):
     assert not len(free) or budget - words < free.min()
 
 
+def nearest_by_force(counts: dict, budget: int) -> int:
+    """The largest sum up to the budget, of all choices there are."""
+    sums = {0}
+    for length, n in counts.items():
+        sums = {s + k * length for s in sums for k in range(n + 1)}
+    return max(s for s in sums if s <= max(budget, 0))
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.dictionaries(st.integers(1, 60), st.integers(1, 6), max_size=6), st.integers(0, 600)
+)
+def test_budget_against_all_choices(counts, budget):
+    lengths = np.array(sorted(counts), np.int64)
+    numbers = np.array([counts[n] for n in sorted(counts)], np.int64)
+    taken = fit_budget(lengths, numbers, budget)
+    assert (taken >= 0).all() and (taken <= numbers).all()
+    assert int((lengths * taken).sum()) == nearest_by_force(counts, budget)
+
+
+@pytest.mark.parametrize(
+    "counts, budget",
+    [({3: 2, 4: 2}, 8), ({2: 3, 5: 3}, 10), ({7: 4, 11: 4}, 44), ({40_000: 9, 3: 1}, 50_000)],
+)
+def test_budget_gives_back(counts, budget):
+    lengths, numbers = np.array(list(counts)), np.array(list(counts.values()))
+    words = int((lengths * fit_budget(lengths, numbers, budget)).sum())
+    assert words == nearest_by_force(counts, budget)
+
+
+@settings(max_examples=100, deadline=None)
+@given(
+    st.dictionaries(st.integers(1, 40), st.integers(1, 30), min_size=1, max_size=6),
+    st.integers(0, 3000),
+)
+def test_budget_beyond_the_knapsack(counts, budget):
+    """With a knapsack far smaller than the budget: within bounds, never worse than greedy."""
+    lengths = np.array(sorted(counts), np.int64)
+    numbers = np.array([counts[n] for n in sorted(counts)], np.int64)
+    taken = fit_budget(lengths, numbers, budget, last_words=100)
+    assert (taken >= 0).all() and (taken <= numbers).all()
+    words = int((lengths * taken).sum())
+    assert words <= max(budget, 0)
+    free = lengths[taken < numbers]
+    assert not len(free) or budget - words < free.min()
+
+
 def test_budget_is_hit_when_lengths_allow():
     lengths, counts = np.arange(3, 2000), np.full(1997, 50)
     for budget in (1, 2, 3, 77, 123_456, 9_999_999):

@@ -4,9 +4,10 @@ Documents are counted by source and exact length. A source whose target is
 more than all its words takes each document once and fits the rest with second
 copies. The budget is spent in three steps on the table of lengths alone: the
 same share of every length, then the longest lengths that still fit, then a
-bounded-knapsack program over the last words, which hits the budget exactly
-wherever the lengths allow it. The outcome is a number of documents for each
-source and length; which ones, a seeded hash of the id decides.
+bounded-knapsack program over the last words, which gives back some of what the
+first steps took where that comes nearer to the budget. The outcome is a number
+of documents for each source and length; which ones, a seeded hash of id and
+text decides.
 
 Hot lengths: documents of one source and length are also counted by the first
 bits of their hash. Whole hash buckets are taken by the running sum of these
@@ -73,49 +74,24 @@ def mixture_targets(
     )
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length (distinct, positive) to take: their words sum to
-    the budget, or to the nearest sum below that the last step can reach.
+def _knapsack(lengths: np.ndarray, free: np.ndarray, left: int) -> np.ndarray:
+    """How many of each length, at most ``free``, sum to the most words up to ``left``.
 
-    The program of the last step runs over at most ``LAST_WORDS`` sums, so its
-    memory doesn't depend on the input.
+    A bounded knapsack over the sums 0 to ``left``: a length available c times
+    is offered in lots of 1, 2, 4 ... and the rest, from the shortest up.
     """
-    lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
-    whole = int((lengths * counts).sum())
-    if budget >= whole:
-        return counts.copy()
-    if budget <= 0:
-        return np.zeros_like(counts)
-    # The same share of every length. The quotient is in whole numbers, so no
-    # rounding can take more than the budget.
-    taken = np.array([int(c) * budget // whole for c in counts], dtype=np.int64)
-    left = budget - int((lengths * taken).sum())
-    # From the longest down, but leave the last step something to fit.
-    for i in np.argsort(-lengths, kind="stable"):
-        more = min(int(counts[i] - taken[i]), max(0, left - LAST_WORDS // 2) // int(lengths[i]))
-        taken[i] += more
-        left -= more * int(lengths[i])
-    for i in np.argsort(-lengths, kind="stable"):  # too many words left for the program
-        if left <= LAST_WORDS:
-            break
-        more = min(int(counts[i] - taken[i]), left // int(lengths[i]))
-        taken[i] += more
-        left -= more * int(lengths[i])
-    left_exact, left = left, min(left, LAST_WORDS)
-    # Bounded knapsack: reached[s] if the words s can be put together; a length
-    # available c times is offered in lots of 1, 2, 4 ... and the rest.
     reached = np.zeros(left + 1, dtype=bool)
     reached[0] = True
-    by = np.full(left + 1, -1, dtype=np.int64)
+    by = np.full(left + 1, -1, dtype=np.int32)
     lots: list[tuple[int, int]] = []
     for i in np.argsort(lengths, kind="stable"):
-        length, free = int(lengths[i]), int(counts[i] - taken[i])
+        length = int(lengths[i])
         if reached[left] or length > left:
             break
-        free = min(free, left // length)
+        more = min(int(free[i]), left // length)
         lot = 1
-        while free > 0 and not reached[left]:
-            lot = min(lot, free)
+        while more > 0 and not reached[left]:
+            lot = min(lot, more)
             words = lot * length
             new = np.zeros_like(reached)
             new[words:] = reached[: left + 1 - words]
@@ -123,9 +99,10 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
             by[new] = len(lots)
             reached |= new
             lots.append((int(i), lot))
-            free -= lot
+            more -= lot
             lot *= 2
-    best = int(np.flatnonzero(reached).max()) if left_exact >= 0 else 0
+    taken = np.zeros(len(lengths), dtype=np.int64)
+    best = int(np.flatnonzero(reached).max())
     while best > 0:  # each sum was reached first by a later lot than its remainder
         i, lot = lots[by[best]]
         taken[i] += lot
@@ -133,6 +110,63 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return taken
 
 
+def _given_back(lengths: np.ndarray, taken: np.ndarray, words: int) -> np.ndarray:
+    """How many of each length to give back, at most ``words`` in all: an equal
+    share for each length, what one can't use going to the longer ones."""
+    back = np.zeros_like(taken)
+    order = [i for i in np.argsort(lengths, kind="stable") if taken[i] > 0]
+    for place, i in enumerate(order):
+        back[i] = min(int(taken[i]), words // (len(order) - place) // int(lengths[i]))
+        words -= int(back[i] * lengths[i])
+    return back
+
+
+def fit_budget(
+    lengths: np.ndarray, counts: np.ndarray, budget: int, last_words: int = LAST_WORDS
+) -> np.ndarray:
+    """How many of each length (distinct, positive) to take: their words sum to
+    the budget, or to the nearest sum below it.
+
+    The knapsack runs over at most ``last_words`` sums, so its memory doesn't
+    depend on the input. Where the documents left over don't fit the words left
+    over, some that were taken are given back and chosen anew, twice as many
+    words each time. Up to a budget of ``last_words`` the last try gives back
+    everything, so no other choice comes nearer; beyond it none does that
+    differs by the documents given back in the last try.
+    """
+    lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
+    whole = int((lengths * counts).sum())
+    if budget >= whole:
+        return counts.copy()
+    if budget <= 0:
+        return np.zeros_like(counts)
+    # The same share of every length. The quotient is in whole numbers, so no
+    # rounding can take more than the budget.
+    taken = np.array([int(c) * budget // whole for c in counts], dtype=np.int64)
+    left = budget - int((lengths * taken).sum())
+    # From the longest down, but leave the knapsack something to fit; where too
+    # many words are left for it then, without leaving anything.
+    for spare in (last_words // 2, 0):
+        for i in np.argsort(-lengths, kind="stable"):
+            if not spare and left <= last_words:
+                break
+            more = min(int(counts[i] - taken[i]), max(0, left - spare) // int(lengths[i]))
+            taken[i] += more
+            left -= more * int(lengths[i])
+    best, missing, words = taken, left, 0
+    while True:
+        tried = taken - _given_back(lengths, taken, words)
+        short = budget - int((lengths * tried).sum())
+        tried = tried + _knapsack(lengths, counts - tried, min(short, last_words))
+        short = budget - int((lengths * tried).sum())
+        if short < missing:
+            best, missing = tried, short
+        most = min(budget, last_words) - left
+        if missing == 0 or words >= most:
+            return best
+        words = min(most, max(2 * words, 2 * left, 64))
+
+
 def _fit(group: pd.DataFrame) -> pd.DataFrame:
     """Of one source: a row per length. Distinct lengths are few: n of them need n*n/2 words."""
     target, size = float(group["target"].iloc[0]), int(group["source_size"].iloc[0])
