@@ -7,11 +7,19 @@ with a cue of all documents. A passage takes the licence of its nearest
 template if the cosine reaches a threshold. Equal passages are scored once,
 so a notice that stands in a third of all documents is one row here.
 
+Licences of one family differ in a word or a number. A template that names a
+version speaks for its licence only where the passage names it too, and for
+the family (the name without version: ``GPL``) elsewhere. Of templates within
+``MARGIN`` of the best, those of one family give the licence if they agree on
+one and the family if not; those of different families give nothing. A
+document whose best passage names a family takes the licence that its best
+passage of that family names, if there is one.
+
 Windows need no cue. A text is looked at for them if it shares so much of a
 template's weight that a cosine over the threshold is possible at all, and a
 window is scored if its cosine would reach the threshold were its other terms
-as light as terms can be. These two bounds lose nothing. Two more decide what
-counts as a passage: a window is at most twice as long as the longest
+as light as terms can be. These two bounds lose nothing. Two more rules say what
+counts as a passage at all: a window is at most twice as long as the longest
 template, and it must share more than half of its template's different terms,
 since where all lines with a cue have "licensed", a stray "by" may be most of
 the weight of a short template.
@@ -29,35 +37,72 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import stored, text_of
 
 THRESHOLD = 0.6
+MARGIN = 0.005
 CUES = "licen[sc]e|copyright|spdx|redistribut|warrant|public domain|all rights reserved"
 LICENSE_FILE = r"(?i)^(licen[sc]e|copying|copyright|notice)(\..*)?$"
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
+VERSION = r"^[0-9]+([.][0-9]+)*$"
+OF_FAMILY = "-[0-9].*$"  # what a licence's name has more than its family's
 
 # Notices in the words that their licences recommend, and the
 # short references to them that are in use.
 TEMPLATES = (
+    (
+        "AGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the"
+        " terms of the GNU Affero General Public License as published by the Free Software"
+        " Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
         "Apache-2.0",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this'
         " file except in compliance with the License.",
     ),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are"
+        " permitted provided that the following conditions are met",
+    ),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     (
         "BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are"
         " permitted provided that the following conditions are met",
     ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used"
+        " to endorse or promote products derived from this software without specific prior"
+        " written permission.",
+    ),
+    ("CC-BY-3.0", "Licensed under CC BY 3.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Released into the public domain under CC0 1.0."),
+    (
+        "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 2.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the"
+        " terms of the GNU General Public License as published by the Free Software"
+        " Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
     (
         "GPL-3.0",
         "This work is licensed under the GNU General Public License, version 3.",
@@ -68,12 +113,43 @@ TEMPLATES = (
         " terms of the GNU General Public License as published by the Free Software"
         " Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
+    ("ISC", "Released under the ISC License."),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with"
+        " or without fee is hereby granted, provided that the above copyright notice and this"
+        " permission notice appear in all copies.",
+    ),
+    (
+        "LGPL-2.1",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the"
+        " terms of the GNU Lesser General Public License as published by the Free Software"
+        " Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+    ),
+    (
+        "LGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the"
+        " terms of the GNU Lesser General Public License as published by the Free Software"
+        " Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     ("MIT", "Released under the MIT License."),
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
         " software and associated documentation files",
     ),
+    (
+        "MPL-1.1",
+        "The contents of this file are subject to the Mozilla Public License Version 1.1",
+    ),
     (
         "MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -224,7 +300,7 @@ def match(
 ) -> DataFrame:
     """(``passage``, ``license``, ``score``) for the different passages of ``found``.
 
-    Terms that are not in ``weights`` weigh ``other``. Where ``cue`` is false, more than half of
+    ``license`` is a licence or a family. Terms that are not in ``weights`` weigh ``other``. Where ``cue`` is false, more than half of
     the template's terms must be shared. The templates are a
     parameter of fixed size and are the only broadcast.
     """
@@ -236,12 +312,14 @@ def match(
         "license-terms",
     )
     wanted = _given(found.sparkSession, templates)
+    is_version = F.col("term").rlike(VERSION)
     of_template = wanted.join(weights, "term").select(
         "template", "license", "term", (F.col("tf") * F.col("idf")).alias("w_template")
     )
     template_norm = of_template.groupBy("template").agg(
         F.sqrt(F.sum(F.col("w_template") * F.col("w_template"))).alias("norm_template"),
         F.count("*").alias("n_template"),
+        F.count_if(is_version).alias("n_versions"),
     )
     idf = F.coalesce("idf", F.lit(other))
     of_passage = terms.join(weights, "term", "left").select(
@@ -251,7 +329,11 @@ def match(
     dot = (
         of_passage.join(F.broadcast(of_template), "term")
         .groupBy("passage", "cue", "template", "license")
-        .agg(F.sum(F.col("w") * F.col("w_template")).alias("dot"), F.count("*").alias("shared"))
+        .agg(
+            F.sum(F.col("w") * F.col("w_template")).alias("dot"),
+            F.count("*").alias("shared"),
+            F.count_if(is_version).alias("shared_versions"),
+        )
     )
     scored = (
         dot.join(norm, "passage")
@@ -261,12 +343,35 @@ def match(
             "score", F.round(F.col("dot") / (F.col("norm") * F.col("norm_template")), 9)
         )
     )
-    best = scored.groupBy("passage").agg(
-        F.max(F.struct("score", F.col("license"))).alias("best")
+    family = _family(F.col("license"))
+    name = F.when(F.col("shared_versions") == F.col("n_versions"), F.col("license")).otherwise(family)
+    # As many entries as there are templates.
+    claims = scored.groupBy("passage").agg(
+        F.collect_list(F.struct("score", name.alias("name"), family.alias("family"))).alias("claims"),
+        F.max("score").alias("score"),
+    )
+    near = F.filter("claims", lambda c: F.col("score") - c["score"] <= MARGIN)
+    families = F.array_distinct(F.transform("near", lambda c: c["family"]))
+    exact = F.filter("near", lambda c: c["name"] != c["family"])
+    exact = F.array_distinct(F.transform(exact, lambda c: c["name"]))
+    return (
+        claims.filter(F.col("score") >= threshold)
+        .withColumn("near", near)
+        .withColumn("families", families)
+        .withColumn("exact", exact)
+        .filter(F.size("families") == 1)
+        .select(
+            "passage",
+            F.when(F.size("exact") == 1, F.get("exact", F.lit(0)))
+            .otherwise(F.get("families", F.lit(0)))
+            .alias("license"),
+            "score",
+        )
     )
-    return best.select(
-        "passage", F.col("best.license").alias("license"), F.col("best.score").alias("score")
-    ).filter(F.col("score") >= threshold)
+
+
+def _family(license: Column) -> Column:
+    return F.regexp_replace(license, OF_FAMILY, "")
 
 
 def ancestors(directory):
@@ -294,7 +399,8 @@ def license_scan(
     ``from_directory`` is the directory whose licence file it was taken from,
     and ``score`` that file's. The best passage of a document decides, of equal
     scores the licence that is last by name; so it is with several licence
-    files in a directory.
+    files in a directory. ``license`` is a family where no passage tells its
+    licences apart.
 
     * A null or empty text has no passage and can only inherit.
     * A null path has no directory: the document keeps to its own passages.
@@ -313,10 +419,17 @@ def license_scan(
     # A notice may stand in a third of all documents: a stored side lets the join split it.
     nearest_template = stored(match(found, weights, other, templates, threshold), "license-matched")
     matched = found.select("id", "passage").join(nearest_template, "passage")
+    family = _family(F.col("license")).alias("family")
+    exact = F.when(F.col("license") != F.col("family"), F.struct("score", "license"))
+    by_family = (
+        matched.filter("id is not null")
+        .select("id", "license", "score", family)
+        .groupBy("id", "family")
+        .agg(F.max("score").alias("score"), F.max(exact).alias("exact"))
+        .select("id", "score", F.coalesce("exact.license", "family").alias("license"))
+    )
     own = stored(
-        matched.groupBy("id")
-        .agg(F.max(F.struct("score", "license")).alias("best"))
-        .filter("id is not null"),
+        by_family.groupBy("id").agg(F.max(F.struct("score", "license")).alias("best")),
         "license-own",
     )
     path = F.col(path_col).cast("string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillflow.llm.license_scan import CUES, TEMPLATES, TERM, THRESHOLD
+from tillflow.llm.license_scan import CUES, MARGIN, OF_FAMILY, TEMPLATES, TERM, THRESHOLD, VERSION
 from tillflow.llm.queries import URL_RULES
 from tillflow.llm.ranked_search import TERM as RANKED_TERM
 from tillflow.llm.url_filter import CANONICAL, HIDDEN, HREF, REFRESH, SENT_TO, TAG
@@ -143,11 +143,15 @@ _TEMPLATES = ", ".join(
 )
 
 LICENSES = rf"""
-    with d as (
+    with l as (
+        select *, list_filter(string_split(text, chr(10)),
+            lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from documents),
+    d as (
         select doc_id, text, concat_ws('/', source, doc_id // 4096, doc_id // 64) as directory,
-            coalesce(len({_WORDS.format("text")}) <= 100 and regexp_matches(lower(text), '{CUES}'),
+            coalesce(regexp_matches(lower(lines[1]), '{CUES}') or 2 * len(list_filter(lines,
+                lambda x: regexp_matches(lower(x), '{CUES}'))) >= len(lines) and len(lines) > 0,
                 false) as is_file
-        from documents),
+        from l),
     found as (
         select distinct doc_id, line from (
             select doc_id, unnest(string_split(text, chr(10))) as line from d) x
@@ -170,21 +174,34 @@ LICENSES = rf"""
     p as (select line, w, tf * idf as x from term join idf using (w)),
     q as (select t, license, w, tf * idf as y from wanted join idf using (w)),
     score as (
-        select line, license, round(sum(x * y) / (any_value(pn) * any_value(qn)), 9) as score
+        select line, license, round(sum(x * y) / (any_value(pn) * any_value(qn)), 9) as score,
+            count(*) filter (regexp_matches(w, '{VERSION}')) = any_value(versions) as same,
+            regexp_replace(license, '{OF_FAMILY}', '') as family
         from p join q using (w)
             join (select line, sqrt(sum(x * x)) as pn from p group by line) a using (line)
-            join (select t, sqrt(sum(y * y)) as qn from q group by t) b using (t)
+            join (select t, sqrt(sum(y * y)) as qn,
+                count(*) filter (regexp_matches(w, '{VERSION}')) as versions from q group by t) b
+                using (t)
         group by line, t, license),
+    near as (
+        select *, max(score) over (partition by line) as top from score
+        qualify top - score <= {MARGIN}),
     best as (
-        select line, license, score from score
-        qualify row_number() over (partition by line order by score desc, license desc) = 1),
+        select line, any_value(family) as family, any_value(top) as score,
+            case when count(distinct license) filter (same and license <> family) = 1
+                then any_value(license) filter (same and license <> family) end as exact
+        from near where top >= {THRESHOLD} group by line having count(distinct family) = 1),
+    kin as (
+        select doc_id, max(score) as score, coalesce(
+            arg_max(exact, {{s: score, e: exact}}) filter (exact is not null), family) as license
+        from found join best using (line) group by doc_id, family),
     own as (
-        select doc_id, license, score from found join best using (line) where score >= {THRESHOLD}
+        select doc_id, license, score from kin
         qualify row_number() over (partition by doc_id order by score desc, license desc) = 1),
     file as (
         select directory, license, score from d join own using (doc_id) where is_file
         qualify row_number() over (partition by directory order by score desc, license desc) = 1),
-    near as (
+    above as (
         select d.doc_id, f.directory, f.license, f.score
         from (select distinct doc_id, directory from d) d join file f
             on d.directory = f.directory or starts_with(d.directory, f.directory || '/')
@@ -192,7 +209,7 @@ LICENSES = rf"""
     select d.doc_id, coalesce(o.license, n.license) as license, coalesce(o.score, n.score) as score,
         o.license is not null as own, case when o.license is null then n.directory end
             as from_directory
-    from d left join own o using (doc_id) left join near n using (doc_id)"""
+    from d left join own o using (doc_id) left join above n using (doc_id)"""
 
 SEARCH = rf"""
     with d as (

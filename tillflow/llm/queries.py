@@ -50,10 +50,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_path(docs: DataFrame) -> DataFrame:
     """A path for each document, since the table has none: its source is the top
-    directory, sections of 4096 and of 64 ids lie below, and short texts with a
-    licence notice are the licence files of their directories.
+    directory, sections of 4096 and of 64 ids lie below. Texts that begin with a
+    licence notice, or have one in half of their lines, whatever their length,
+    are the licence files of their directories.
     """
-    notice = (F.regexp_count("text", F.lit(WORD)) <= 100) & F.lower("text").rlike(CUES)
+    lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
+    first = F.lower(F.get(lines, F.lit(0))).rlike(CUES)
+    with_cue = F.filter(lines, lambda line: F.lower(line).rlike(CUES))
+    notice = first | ((F.size(lines) > 0) & (2 * F.size(with_cue) >= F.size(lines)))
     name = F.when(notice, F.lit("LICENSE")).otherwise(F.format_string("%d.txt", "doc_id"))
     return docs.withColumn(
         "path",
