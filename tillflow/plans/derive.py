@@ -33,7 +33,14 @@ def _faulty(column: Column, replacements: dict[int, str | None]) -> Column:
 
 def _code(prefix: str, number: str, width: int) -> Column:
     """The number with leading zeros up to the width; longer numbers stay whole."""
-    return F.format_string(f"{prefix}%0{width}d", F.expr(number).cast("bigint"))
+    n, wide = F.expr(number).cast("bigint"), 10**width
+    text = n.cast("string")
+    # The formatter of the JVM reads its pattern for every row: only where a number has a sign, or is absent.
+    return (
+        F.when(n.between(0, wide - 1), F.concat(F.lit(prefix), F.lpad(text, width, "0")))
+        .when(n >= wide, F.concat(F.lit(prefix), text))
+        .otherwise(F.format_string(f"{prefix}%0{width}d", n))
+    )
 
 
 def _computed_once(df: DataFrame) -> DataFrame:

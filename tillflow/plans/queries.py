@@ -71,6 +71,18 @@ def _query(make: Query) -> Query:
     return run
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    """A new folder in the warehouse, which driver and executors share."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows that are read several times, computed once into a new folder."""
+    path = _fresh(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pos.flag_pos(pos.with_lateness(pos_raw(spark, sf_dir)), AS_OF)
 
@@ -275,11 +287,6 @@ def cust_scd2_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_scd2(None, _changes(spark, sf_dir), track_cols=("loyalty_tier", "is_active"))
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    """A new folder in the warehouse, which driver and executors share."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _payload_job(spark: SparkSession, sf_dir: str) -> pos_job.PosConfig:
     """Payload files of all records; the arrival time travels in the payload."""
     root = _fresh(spark, "pos")
@@ -353,7 +360,7 @@ def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     between those of the others: its changes are late.
     """
     root = _fresh(spark, "customers")
-    raw = cust_raw(spark, sf_dir)
+    raw = _stored(cust_raw(spark, sf_dir), "changes")
     for part in (0, 2, 1):
         arriving = raw.filter(F.col("change_id") % 3 == part)
         _customer_files(arriving, f"{root}/files", CUSTOMER_FILE.fieldNames())

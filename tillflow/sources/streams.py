@@ -99,8 +99,8 @@ def by_header(
             ).alias("header"),
         )
     )
-    # A row per file of the batch.
-    met = numbered.join(heads, "file_path").filter(
+    # A row per file of the batch. By a shuffle, the lines of a file would be one task's.
+    met = numbered.join(F.broadcast(heads), "file_path").filter(
         (F.col("row") != F.col("head_row")) & (F.trim("value") != "")
     )
     fields = met.select("file_path", "header", csv_fields(F.col("value")).alias("fields"))
