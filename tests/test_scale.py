@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillflow.plans import derive
+from tillflow.plans.queries import QUERIES
 from tillflow.sources.streams import by_header
 
 
 def test_lines_of_a_file_are_not_one_tasks(spark, capsys):
     lines = spark.range(0, 1000, 1, 8).select(
         F.when(F.col("id") == 0, "customer_id").otherwise(F.col("id").cast("string")).alias("value"),
-        F.lit("one.csv").alias("file_path"),
+        F.expr("concat(id div 1000, '.csv')").alias("file_path"),
         F.when(F.col("id") < 125, 0).otherwise(F.col("id")).alias("block_start"),
     )
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -31,3 +32,12 @@ def test_codes_are_as_the_formatter_makes_them(spark):
         derive._code("C-", "n", 5).alias("a"), F.format_string("C-%05d", "n").alias("b")
     ).collect()
     assert all(r["a"] == r["b"] for r in found), found
+
+
+def reads_of(df, table):
+    """How often the plan of ``df`` reads a given table."""
+    return df._jdf.queryExecution().executedPlan().toString().count(f"/{table}.parquet")
+
+
+def test_an_upsert_derives_its_sides_once(spark, small_dir):
+    assert reads_of(QUERIES["pos_merge"](spark, small_dir), "lineitem") == 0

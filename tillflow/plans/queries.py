@@ -194,15 +194,19 @@ def _merge(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> DataFrame
 
     Copies of a key stay in the target, and in the source where the target
     doesn't have the key; two source rows for a known key would end the query.
+    The upsert reads both sides more than once, so both are stored first.
     """
     flagged = _flagged(spark, sf_dir)
     rows = pos.valid(flagged, also=("row_hash",)).withColumn("old", F.expr("row_hash % 2 = 0"))
+    columns = ["transaction_id", "item_sequence", "sku", "store_id", "item_unit_price", "ingested_time"]
+    # Dealt by the keys once, which is what both windows need.
+    rows = rows.select(*columns, "row_hash", "old").repartition(*keys)
     first = W.partitionBy(*keys, "old").orderBy("row_hash", "sku", "store_id", "ingested_time")
     rows = rows.withColumn("rn", F.row_number().over(first))
     rows = rows.withColumn("known", F.max("old").over(W.partitionBy(*keys)))
-    columns = ["transaction_id", "item_sequence", "sku", "store_id", "item_unit_price", "ingested_time"]
-    source = rows.filter("not old and (rn = 1 or not known)")
-    return merge_upsert(rows.filter("old").select(*columns), source.select(*columns), keys)
+    sides = _stored(rows.filter("old or rn = 1 or not known").select(*columns, "old"), "sides")
+    target, source = sides.filter("old"), sides.filter("not old")
+    return merge_upsert(target.select(*columns), source.select(*columns), keys)
 
 
 @_query
