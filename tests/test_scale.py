@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillflow.operators import catalog
 from tillflow.plans import derive
 from tillflow.plans.queries import QUERIES
 from tillflow.sources.streams import by_header
@@ -41,3 +42,15 @@ def reads_of(df, table):
 
 def test_an_upsert_derives_its_sides_once(spark, small_dir):
     assert reads_of(QUERIES["pos_merge"](spark, small_dir), "lineitem") == 0
+
+
+def test_a_table_is_filled_from_rows_derived_once(spark, small_dir, monkeypatch):
+    fill, seen = catalog.fill_table, []
+
+    def noted(df, *args):
+        seen.append(reads_of(df, "lineitem"))
+        fill(df, *args)
+
+    monkeypatch.setattr(catalog, "fill_table", noted)
+    assert QUERIES["pos_catalog"](spark, small_dir).count() > 0
+    assert seen == [0, 0, 0]

@@ -485,7 +485,7 @@ def stream_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pos_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that is created twice, filled twice, replaced, filled again and previewed whole."""
     name = f"{contracts.POS_CLEANED.name}_{uuid.uuid4().hex}"
-    rows = pos.on_time(pos.valid(_flagged(spark, sf_dir)))
+    rows = _stored(pos.on_time(pos.valid(_flagged(spark, sf_dir))), "on_time")
     catalog.create_table(spark, contracts.POS_CLEANED, name)
     catalog.fill_table(rows, contracts.POS_CLEANED, name)
     catalog.create_table(spark, contracts.POS_CLEANED, name)
