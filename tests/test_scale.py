@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillflow.operators import catalog
-from tillflow.plans import derive
+from tillflow.plans import derive, queries
 from tillflow.plans.queries import QUERIES
 from tillflow.sources.streams import by_header
 
@@ -54,3 +54,13 @@ def test_a_table_is_filled_from_rows_derived_once(spark, small_dir, monkeypatch)
     monkeypatch.setattr(catalog, "fill_table", noted)
     assert QUERIES["pos_catalog"](spark, small_dir).count() > 0
     assert seen == [0, 0, 0]
+
+
+def test_payload_files_are_a_fraction_of_the_payloads(spark, small_dir):
+    config = queries._payload_job(spark, small_dir)
+    text = spark.read.text(config.payload_options["path"])
+    made = text.agg(F.count("*"), F.sum(F.length("value"))).first()
+    files = text.select("_metadata.file_path", "_metadata.file_size").distinct()
+    written = files.agg(F.sum("file_size")).first()[0]
+    assert made[0] == derive.table(spark, small_dir, "lineitem").count()
+    assert written * 4 < made[1]

@@ -42,6 +42,7 @@ QUERIES: dict[str, Query] = {}
 
 # Enough for the given tables; a slot of a large one has some hundred megabytes.
 QUERY_BUCKETS = 8
+PAYLOAD_CODEC, PAYLOADS_PER_FILE = "lz4", 250_000
 KEYED = ("row_hash", "transaction_id", "item_sequence")
 
 
@@ -292,10 +293,15 @@ def cust_scd2_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _payload_job(spark: SparkSession, sf_dir: str) -> pos_job.PosConfig:
-    """Payload files of all records; the arrival time travels in the payload."""
+    """Payload files of all records; the arrival time travels in the payload.
+
+    The names of the fields are more than half of a payload, so files are
+    compressed. Such a file is one task's, hence the bound on its records.
+    """
     root = _fresh(spark, "pos")
     rows = pos_raw(spark, sf_dir).select(*POS_FIELDS, "ingested_time")
-    pos.to_keyed_json(rows).select("value").write.text(f"{root}/payloads")
+    writer = pos.to_keyed_json(rows).select("value").write.option("compression", PAYLOAD_CODEC)
+    writer.option("maxRecordsPerFile", PAYLOADS_PER_FILE).text(f"{root}/payloads")
     stamp = F.from_json("value", "ingested_time timestamp").getField("ingested_time")
     return pos_job.PosConfig(
         root,
