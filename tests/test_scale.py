@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillflow.operators import catalog
+from tillflow.operators import catalog, contracts
+from tillflow.operators.upsert import merge_upsert
 from tillflow.plans import derive, queries
 from tillflow.plans.queries import QUERIES
 from tillflow.sources.streams import by_header
+from tillflow.streaming import sinks
 
 
 def test_lines_of_a_file_are_not_one_tasks(spark, capsys):
@@ -64,3 +67,26 @@ def test_payload_files_are_a_fraction_of_the_payloads(spark, small_dir):
     written = files.agg(F.sum("file_size")).first()[0]
     assert made[0] == derive.table(spark, small_dir, "lineitem").count()
     assert written * 4 < made[1]
+
+
+def test_a_first_batch_is_joined_with_nothing(spark, tmp_path):
+    joined = []
+    contract = contracts.Contract("first", T.StructType([T.StructField("k", T.StringType())]), False, "silver")
+    held = sinks.KeyedTable(str(tmp_path / "first"), contract, ("k",), 4)
+
+    def combine(current, batch):
+        joined.append(current is not None)
+        return merge_upsert(current, batch, ["k"])
+
+    for batch_id, keys in enumerate((["a", "a", "b"], ["b", "c"])):
+        df = spark.createDataFrame([(k,) for k in keys], "k string")
+        sinks.write_keyed(df, held, batch_id, combine, "s")
+    assert joined == [False, True]
+    assert sorted(r["k"] for r in sinks.read_keyed(spark, held).collect()) == ["a", "a", "b", "c"]
+
+
+def test_buckets_grow_with_the_files(spark, small_dir, monkeypatch):
+    lines = derive.table(spark, small_dir, "lineitem")
+    assert queries._buckets(lines) == queries.QUERY_BUCKETS
+    monkeypatch.setattr(queries, "BYTES_OF_BUCKET", 1 << 12)
+    assert queries._buckets(lines) > queries.QUERY_BUCKETS

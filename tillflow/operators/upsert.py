@@ -11,7 +11,7 @@ AMBIGUOUS = "upsert: several source rows match one target key"
 
 
 def merge_upsert(
-    target: DataFrame,
+    target: DataFrame | None,
     source: DataFrame,
     keys: Sequence[str] = ("transaction_id",),
     on_ambiguous: str = "error",
@@ -20,6 +20,7 @@ def merge_upsert(
     """Every target row whose key is in the source becomes a copy of that source
     row; source rows of unknown keys are added, all of them; the rest stays.
 
+    Without a target (None) no key is known, and all source rows are added.
     Two source rows for one known key end the query. ``on_ambiguous`` may name
     a column instead: then the row with its greatest value is taken, of equal
     values the greatest by all columns. NULL keys match nothing, and pass by
@@ -30,6 +31,8 @@ def merge_upsert(
     ``on_ambiguous`` the rows to add are a second join, against the target's
     keys only.
     """
+    if target is None:
+        return source
     keys = list(keys)
     columns = target.columns
     present = F.lit(True)

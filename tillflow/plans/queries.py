@@ -40,8 +40,8 @@ from tillflow.streaming import customer_job, expectation_log, pos_job, sinks, su
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Enough for the given tables; a slot of a large one has some hundred megabytes.
-QUERY_BUCKETS = 8
+# Enough for the given tables; larger ones have a bucket for so many bytes of the files that are read.
+QUERY_BUCKETS, BYTES_OF_BUCKET = 8, 32 << 20
 PAYLOAD_CODEC, PAYLOADS_PER_FILE = "lz4", 250_000
 KEYED = ("row_hash", "transaction_id", "item_sequence")
 
@@ -77,6 +77,12 @@ def _fresh(spark: SparkSession, name: str) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _buckets(rows: DataFrame) -> int:
+    """Buckets for a keyed table that is made of the files of ``rows``."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(QUERY_BUCKETS, -(-size // BYTES_OF_BUCKET))
+
+
 def _stored(rows: DataFrame, name: str) -> DataFrame:
     """Rows that are read several times, computed once into a new folder."""
     path = _fresh(rows.sparkSession, name)
@@ -309,7 +315,7 @@ def _payload_job(spark: SparkSession, sf_dir: str) -> pos_job.PosConfig:
         {"path": f"{root}/payloads"},
         trigger=pos_job.DRAIN,
         as_of=stamp,
-        buckets=QUERY_BUCKETS,
+        buckets=_buckets(table(spark, sf_dir, "lineitem")),
     )
 
 

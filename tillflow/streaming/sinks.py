@@ -128,12 +128,12 @@ def write_keyed(
     df: DataFrame,
     table: KeyedTable,
     batch_id: int,
-    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    combine: Callable[[DataFrame | None, DataFrame], DataFrame],
     stream: str | None = None,
 ) -> None:
     """``combine(current, batch)`` in place of the current rows of the touched slots.
 
-    Both have the column of the writing batch, which ``combine`` keeps with
+    ``current`` is None where these have no rows. Both have the column of the writing batch, which ``combine`` keeps with
     each row. Either rows of the batch stay in each slot that it touches, or
     combining them once more changes nothing. ``df`` is read several times:
     persist it if it is costly. Its slots are gathered, so a slot should hold
@@ -153,9 +153,13 @@ def write_keyed(
         return
     batch = df.filter(slot.isin(todo)).withColumn(WRITTEN_BY, F.lit(written_by))
     columns = [*table.contract.schema.fieldNames(), WRITTEN_BY]
-    after = combine(
-        current.filter(F.col(SLOT).isin(todo)).select(*columns), batch.select(*columns)
-    )
+    batch = batch.select(*columns)
+    held = current.filter(F.col(SLOT).isin(todo)).select(*columns)
+    if held.isEmpty():
+        # Dealt as the buckets are, so that a task writes few slots.
+        after = combine(None, batch.repartition(table.buckets, *table.keys))
+    else:
+        after = combine(held, batch)
     after.select(*columns, slot.alias(SLOT)).write.insertInto(table.name, overwrite=True)
 
 
@@ -164,7 +168,7 @@ def upsert_sink(
 ) -> None:
     """Checked rows, upserted by key; the first batch is taken as it is."""
 
-    def combine(current: DataFrame, batch: DataFrame) -> DataFrame:
+    def combine(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         return merge_upsert(current, batch, table.keys)
 
     write_keyed(enforce_contract(df, table.contract), table, batch_id, combine, stream)
