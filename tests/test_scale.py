@@ -47,6 +47,37 @@ def test_an_upsert_derives_its_sides_once(spark, small_dir):
     assert reads_of(QUERIES["pos_merge"](spark, small_dir), "lineitem") == 0
 
 
+def test_sides_of_an_upsert_are_typed_judged_and_ranked_once(spark, small_dir, monkeypatch):
+    store, plans = queries._stored, []
+
+    def noted(rows, name):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return store(rows, name)
+
+    monkeypatch.setattr(queries, "_stored", noted)
+    assert QUERIES["pos_merge_line_key"](spark, small_dir).count() > 0
+    (plan,) = plans
+    assert plan.count("- Window [") == 1
+    assert "Generate" not in plan
+    assert plan.count("try_cast(event_time") == 1
+
+
+def test_amounts_and_arrivals_are_as_by_decimals_and_intervals(spark):
+    numbers = [None, -10**7, -536, -535, -101, -100, -99, -1, 0, 1, 7, 535, 10**7, 10**12]
+    cents = "100 + n * 37 % 19800"
+    df = spark.createDataFrame([(n, n and n % 5000) for n in numbers], "n long, s long").crossJoin(
+        spark.sql("select explode(array(timestamp_ntz'1969-12-31 23:59:59.5', timestamp_ntz'2024-02-29', null)) as t")
+    )
+    found = df.select(
+        derive._price(cents).alias("a"),
+        F.expr(f"cast(cast(({cents}) / 100 as decimal(10,2)) as string)").alias("b"),
+        derive._after("t", F.col("s")).alias("c"),
+        F.expr("cast(t + make_dt_interval(0, 0, 0, s) as timestamp)").alias("d"),
+    ).collect()
+    assert len(found) == 3 * len(numbers)
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in found), found
+
+
 def test_a_table_is_filled_from_rows_derived_once(spark, small_dir, monkeypatch):
     fill, seen = catalog.fill_table, []
 

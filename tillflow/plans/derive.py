@@ -8,6 +8,9 @@ rows of the tables are kept.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +55,28 @@ def _computed_once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def counted_once(df: DataFrame) -> DataFrame:
+    """As ``_computed_once``, but the rows are counted on their way, not built and unpacked again.
+
+    Generated code ends here as well, so that what lies behind is small enough to be compiled. A filter
+    there repeats the casts it reads: put one more node between the rules and the filter.
+    """
+    return df.observe(f"records-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n"))
+
+
+def _price(cents: str) -> Column:
+    """Cents as an amount of money; by way of a decimal only where there may be a sign, or nothing."""
+    n = F.expr(cents)
+    whole, rest = F.expr(f"({cents}) div 100").cast("string"), (n % 100).cast("string")
+    plain = F.concat(whole, F.lit("."), F.lpad(rest, 2, "0"))
+    return F.when(n >= 100, plain).otherwise((n / 100).cast("decimal(10,2)").cast("string"))
+
+
+def _after(moment: str, seconds: Column) -> Column:
+    """So many seconds later, without the calendar."""
+    return F.timestamp_micros(F.unix_micros(F.col(moment).cast("timestamp")) + seconds * 1_000_000)
+
+
 def _pick(number: str, texts: tuple[str, ...]) -> Column:
     return F.element_at(F.array(*map(F.lit, texts)), F.expr(number).cast("int") + 1)
 
@@ -68,12 +93,9 @@ def pos_of_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
         ),
     ).withColumn("fault", F.expr("(row_hash div 100) % 100"))
     money = "cast(cast({} as decimal(10,2)) as string)"
-    price = F.expr(money.format("(100 + l_partkey * 37 % 19800) / 100"))
+    price = _price("100 + l_partkey * 37 % 19800")
     event_time = F.expr("concat(replace(cast(l_shipdate as string), ' ', 'T'), '.000Z')")
-    arrival = F.expr(
-        "l_shipdate + make_dt_interval(0, 0, 0, if((row_hash div 10000) % 100 < 15,"
-        " 3601 + row_hash % 5000, row_hash % 3601))"
-    )
+    delay = F.expr("if((row_hash div 10000) % 100 < 15, 3601 + row_hash % 5000, row_hash % 3601)")
     customer_id = F.when(F.expr("row_hash % 10 >= 3"), _code("CUST-", "o_custkey", 5))
     return keyed.select(
         "row_hash",
@@ -124,14 +146,16 @@ def pos_of_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
         ).alias("channel"),
         _faulty(_code("STORE-", "l_suppkey % 20 + 1", 3), {27: "STORE-021"}).alias("store_id"),
         _faulty(_code("TERM-", "l_suppkey % 100", 2), {28: "TERM-1"}).alias("terminal_id"),
-        arrival.cast("timestamp").alias("ingested_time"),
+        _after("l_shipdate", delay).alias("ingested_time"),
     )
 
 
-def pos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pos_raw(
+    spark: SparkSession, sf_dir: str, once: Callable[[DataFrame], DataFrame] = _computed_once
+) -> DataFrame:
     """Customer ids have five digits up to 99,999; longer ones are faulty, as they should be."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return _computed_once(pos_of_lines(lines, orders))
+    return once(pos_of_lines(lines, orders))
 
 
 def cust_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

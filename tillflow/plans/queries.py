@@ -23,7 +23,7 @@ from tillflow.operators.catalog import preview
 from tillflow.operators.cdc import apply_scd1, apply_scd2
 from tillflow.operators.expectations import expectation_counts
 from tillflow.operators.upsert import merge_upsert
-from tillflow.plans.derive import AS_OF, cust_raw, pos_raw, table
+from tillflow.plans.derive import AS_OF, counted_once, cust_raw, pos_raw, table
 from tillflow.session import prepare
 from tillflow.sources.schemas import (
     CUSTOMER_FIELDS,
@@ -90,8 +90,8 @@ def _stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pos.flag_pos(pos.with_lateness(pos_raw(spark, sf_dir)), AS_OF)
+def _flagged(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
+    return pos.flag_pos(pos.with_lateness(pos_raw(spark, sf_dir, **how)), AS_OF)
 
 
 def _profiles(df: DataFrame) -> DataFrame:
@@ -203,15 +203,18 @@ def _merge(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> DataFrame
     doesn't have the key; two source rows for a known key would end the query.
     The upsert reads both sides more than once, so both are stored first.
     """
-    flagged = _flagged(spark, sf_dir)
+    # The filter stays behind the rules, which read typed columns that are typed once.
+    flagged = counted_once(_flagged(spark, sf_dir, once=counted_once))
     rows = pos.valid(flagged, also=("row_hash",)).withColumn("old", F.expr("row_hash % 2 = 0"))
     columns = ["transaction_id", "item_sequence", "sku", "store_id", "item_unit_price", "ingested_time"]
-    # Dealt by the keys once, which is what both windows need.
+    # Target rows lead their key, so one sort and one pass tell how many it has and which row follows them.
     rows = rows.select(*columns, "row_hash", "old").repartition(*keys)
-    first = W.partitionBy(*keys, "old").orderBy("row_hash", "sku", "store_id", "ingested_time")
-    rows = rows.withColumn("rn", F.row_number().over(first))
-    rows = rows.withColumn("known", F.max("old").over(W.partitionBy(*keys)))
-    sides = _stored(rows.filter("old or rn = 1 or not known").select(*columns, "old"), "sides")
+    order = (F.desc("old"), "row_hash", "sku", "store_id", "ingested_time")
+    so_far = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("rn", F.row_number().over(so_far))
+    rows = rows.withColumn("n_old", F.count_if("old").over(so_far))
+    kept = rows.filter("old or n_old = 0 or rn = n_old + 1")
+    sides = _stored(kept.select(*columns, "old"), "sides")
     target, source = sides.filter("old"), sides.filter("not old")
     return merge_upsert(target.select(*columns), source.select(*columns), keys)
 
