@@ -12,7 +12,9 @@ with other samples are repeated as often as the target recall needs.
 What a bucket finds is only a candidate: candidates are joined to clusters,
 and within a cluster the exact similarity of all pairs decides. Large clusters
 are cut into blocks, and a task compares two blocks, so a cluster of any size
-is spread over many tasks; pairs are counted there and never become rows.
+is spread over many tasks; pairs are counted there and never become rows. Most
+shingles of a cluster are in one text or in the very same texts as others, and
+cost no column of their own.
 
 Equal texts are one node of all this and are counted before any shuffle.
 """
@@ -41,15 +43,20 @@ LEAF = 32
 DEPTH = 8
 SECOND = 4  # one node in so many is split by a second value
 STUCK = 0.75  # a bucket with this part of the one above is not split again
-BLOCK_ROWS = 256
-BLOCK_SHINGLES = 4_000_000
-KNOWN_WORDS = 150_000
-COLUMNS = 1 << 14
-
-_MULTIPLIERS = np.array(
-    [random.Random(i).getrandbits(64) | 1 for i in range(VALUES)], dtype=np.uint64
-)
-_known: dict[bytes, int] = {}
+BLOCK_ROWS = 1024
+BLOCK_SHINGLES = 2_000_000
+CHUNK_BYTES = 1 << 17
+CHUNK_WORDS = 1 << 13
+PLACES = 64  # longer words have a hash of another kind
+COLUMNS = 1 << 12
+SPARSE = 256  # columns of so few pairs are added up pair by pair
+
+_draw = random.Random(0)
+_MULTIPLIERS = np.array([_draw.getrandbits(32) | 1 for _ in range(VALUES)], np.uint32)
+_INVERSES = np.array([pow(int(m), -1, 1 << 32) for m in _MULTIPLIERS], np.uint32)
+# A random number for each byte at each place of a word.
+_BYTES = np.array([_draw.getrandbits(64) for _ in range(PLACES * 256)], np.uint64)
+_NONE = np.zeros(0, np.uint8)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -62,35 +69,91 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    """The set of shingles as sorted 64-bit hashes; fewer words than ``size`` are one shingle."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_known) > KNOWN_WORDS:
-        _known.clear()
-    hashes = np.empty(len(words), np.uint64)
-    for i, word in enumerate(words):
-        value = _known.get(word)
-        if value is None:
-            value = _known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes[i] = value
-    size = min(size, len(words))
-    mixed = np.full(len(words) - size + 1, size, np.uint64)
+def _word_hashes(low: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``low[begin:end]``, sums of a number for each byte and place."""
+    hashes = np.empty(len(begin), np.uint64)
+    sizes = end - begin
+    for lo in range(0, len(begin), CHUNK_WORDS):
+        size = np.minimum(sizes[lo : lo + CHUNK_WORDS], PLACES)
+        first = np.cumsum(size) - size
+        place = np.arange(first[-1] + size[-1])
+        place -= np.repeat(first, size)
+        at = np.repeat(begin[lo : lo + CHUNK_WORDS], size)
+        at += place
+        place *= 256
+        place += low[at]
+        hashes[lo : lo + CHUNK_WORDS] = np.add.reduceat(_BYTES.take(place), first)
+    for i in np.flatnonzero(sizes > PLACES).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(low[begin[i] : end[i]].tobytes())
+    return hashes
+
+
+def _windows(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each ``size`` words that follow one another."""
+    mixed = np.full(len(hashes) - size + 1, size, np.uint64)
     for k in range(size):
-        mixed = _mix(mixed + hashes[k : len(words) - size + 1 + k])
-    return np.unique(mixed)
+        mixed = _mix(mixed + hashes[k : len(hashes) - size + 1 + k])
+    return mixed
+
+
+def _signs(texts: pa.Array) -> Iterator[tuple[bytes, np.ndarray]]:
+    """For each text the digest of its words and its shingles, as sorted 64-bit hashes.
+
+    A text of fewer words than ``SHINGLE`` is one shingle, one without words has none.
+    """
+    held = texts.cast(pa.large_binary())
+    ends = np.frombuffer(held.buffers()[1], np.int64)[held.offset : held.offset + len(held) + 1]
+    data = held.buffers()[2]
+    lo = 0
+    while lo < len(held):
+        hi = int(np.searchsorted(ends, ends[lo] + CHUNK_BYTES, "right")) - 1
+        hi = min(max(hi, lo + 1), len(held))
+        start, stop = int(ends[lo]), int(ends[hi])
+        low = np.frombuffer(data[start:stop].to_pybytes().lower(), np.uint8) if stop > start else _NONE
+        # Words begin and end at blanks and at the ends of texts.
+        word = (low != 32) & ((low < 9) | (low > 13))
+        edge = np.zeros(len(low) + 1, bool)
+        edge[ends[lo : hi + 1] - start] = True
+        begin = np.flatnonzero(word & (edge[:-1] | ~np.concatenate(([False], word[:-1]))))
+        end = np.flatnonzero(word & (edge[1:] | ~np.concatenate((word[1:], [False])))) + 1
+        hashes = _word_hashes(low, begin, end)
+        windows = _windows(hashes, SHINGLE) if len(hashes) >= SHINGLE else hashes[:0]
+        # The words with one blank behind each that another follows.
+        plain = np.where(word, low, np.uint8(32))
+        kept = word.copy()
+        kept[end[end < len(low)]] = True
+        first = np.searchsorted(begin, ends[lo : hi + 1] - start).tolist()
+        for a, b in zip(first, first[1:]):
+            if a == b:
+                yield _digest(b""), hashes[:0]
+                continue
+            words = plain[begin[a] : end[b - 1]][kept[begin[a] : end[b - 1]]]
+            found = windows[a : b - SHINGLE + 1] if b - a >= SHINGLE else _windows(hashes[a:b], b - a)
+            found = np.sort(found)
+            other = found[1:] != found[:-1]
+            if not other.all():
+                found = np.concatenate((found[:1], found[1:][other]))
+            yield _digest(words.tobytes()), found
+        lo = hi
 
 
 def minhashes(found: np.ndarray) -> np.ndarray:
-    """For each multiplier the smallest product, its upper 32 bits, as signed integers."""
-    least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
-    for lo in range(0, len(found), 2048):
-        least = np.minimum(least, (found[lo : lo + 2048, None] * _MULTIPLIERS).min(axis=0))
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    """For each multiplier the shingle whose upper half has the smallest product; its lower half.
+
+    ``found`` is sorted. The lower half says nothing about the size of the set,
+    so that sets without a common shingle hardly ever agree in a value.
+    """
+    upper = (found >> np.uint64(32)).astype(np.uint32)
+    least = np.full(VALUES, np.iinfo(np.uint32).max, np.uint32)
+    for lo in range(0, len(upper), 1024):
+        least = np.minimum(least, (_MULTIPLIERS[:, None] * upper[lo : lo + 1024]).min(axis=1))
+    if not len(found):
+        return np.zeros(VALUES, np.int32)
+    return found[np.searchsorted(upper, least * _INVERSES)].astype(np.uint32).view(np.int32)
 
 
-def _copy(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+def _digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
 
 
 def _survival(similarity: float, depth: int) -> float:
@@ -118,10 +181,8 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             copies, sizes, values = [], [], []
-            for text in batch["text"]:
-                words = words_of(text.as_py())
-                found = shingles(words)
-                copies.append(_copy(words))
+            for copy, found in _signs(batch["text"]):
+                copies.append(copy)
                 sizes.append(len(found))
                 values.append(minhashes(found))
             flat = np.concatenate(values) if values else np.zeros(0, np.int32)
@@ -280,9 +341,8 @@ def _sets(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text in batch["text"]:
-                words = words_of(text.as_py())
-                out.append({"copy": _copy(words), "hashes": shingles(words).tobytes()})
+            for copy, found in _signs(batch["text"]):
+                out.append({"copy": copy, "hashes": found.tobytes()})
                 if len(out) == 512:
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
                     out = []
@@ -294,54 +354,104 @@ def _sets(docs: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all pairs of sets."""
-    n = len(sets)
-    sizes = np.fromiter(map(len, sets), np.int64, n)
-    if n <= 8:
-        out = np.diag(sizes)
-        for i in range(n):
-            for j in range(i + 1, n):
-                out[i, j] = out[j, i] = len(
-                    np.intersect1d(sets[i], sets[j], assume_unique=True)
-                )
-        return out
-    distinct, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(n), sizes)
-    out = np.zeros((n, n))
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    edges = np.searchsorted(column, np.arange(0, len(distinct) + COLUMNS, COLUMNS))
-    for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        block = np.zeros((n, COLUMNS), np.float32)
-        block[row[lo:hi], column[lo:hi] - k * COLUMNS] = 1.0
-        out += block @ block.T
+def _overlaps(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, or of the sets with the others.
+
+    A shingle of one set is in no intersection. Shingles that are in the very
+    same sets are one column with a weight. Columns of few sets are added up
+    pair by pair, the others are a product of matrices.
+    """
+    every = sets + (others or [])
+    n, m = len(sets), len(every) - len(sets) if others else len(sets)
+    sizes = np.fromiter(map(len, every), np.int64, len(every))
+    if len(every) <= 8:
+        pairs = [(i, j) for i in range(n) for j in range(m) if others or i < j]
+        few = np.zeros((n, m), np.int64) if others else np.diag(sizes)
+        for i, j in pairs:
+            few[i, j] = len(np.intersect1d(sets[i], (others or sets)[j], assume_unique=True))
+        return few if others else np.maximum(few, few.T)
+    out = np.zeros((n, m))
+    flat = np.concatenate(every)
+    order = np.argsort(flat)
+    flat, row = flat[order], np.repeat(np.arange(len(every)), sizes)[order]
+    edge = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+    count = np.diff(np.append(edge, len(flat)))
+    marks = _mix(_mix(np.arange(1, len(every) + 1, dtype=np.uint64)))[row]
+    _, first, weight = np.unique(
+        np.add.reduceat(marks, edge), return_index=True, return_counts=True
+    )
+    edge, count = edge[first], count[first]
+    shared = np.flatnonzero(count > 1)
+    shared = shared[np.argsort(count[shared])]
+    edge, count, weight = edge[shared], count[shared], weight[shared]
+    few = int(np.searchsorted(count, math.isqrt(n * m // SPARSE), "right"))
+    lo = 0
+    while lo < few:  # columns of the same number of sets at a time
+        size = int(count[lo])
+        hi = min(int(np.searchsorted(count[:few], size, "right")), lo + max(1, COLUMNS * 64 // size**2))
+        held = row[edge[lo:hi, None] + np.arange(size)]
+        left, right = held[:, :, None], held[:, None, :] - (n if others else 0)
+        at = left * m + right
+        real = (left < n) & (right >= 0)
+        np.add.at(out.reshape(-1), at[real], np.broadcast_to(weight[lo:hi, None, None], at.shape)[real])
+        lo = hi
+    kind = np.float32 if len(flat) < 1 << 24 else np.float64
+    for lo in range(few, len(edge), COLUMNS):
+        hi = min(lo + COLUMNS, len(edge))
+        column = np.repeat(np.arange(hi - lo), count[lo:hi])
+        within = np.arange(len(column)) - np.repeat(np.cumsum(count[lo:hi]) - count[lo:hi], count[lo:hi])
+        held = row[edge[lo:hi][column] + within]
+        block = np.zeros((len(every), hi - lo), kind)
+        block[held, column] = 1
+        out += (block[:n] * weight[lo:hi].astype(kind)) @ (block[n:] if others else block).T
+    if not others:
+        np.fill_diagonal(out, sizes)
     return out.astype(np.int64)
 
 
+def _groups(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each row and each column, the same for those that links connect; -1 without links."""
+    turned = np.ascontiguousarray(linked.T)
+    rows, columns = np.full(len(linked), -1), np.full(len(turned), -1)
+    for i in np.flatnonzero(linked.any(axis=1)).tolist():
+        if rows[i] >= 0:
+            continue
+        rows[i], found = i, np.array([i])
+        while len(found):
+            found = np.flatnonzero(linked[found].any(axis=0) & (columns < 0))
+            columns[found] = i
+            if len(found):
+                found = np.flatnonzero(turned[found].any(axis=0) & (rows < 0))
+                rows[found] = i
+    return rows, columns
+
+
 def _compare(
     nodes: list[int], blocks: list[int], sets: list[np.ndarray], across: bool, similarity: float
 ) -> list[tuple[int, int, int]]:
     """(node, root, links) of the nodes with links in this group; ``across``: between two blocks."""
-    common = _overlaps(sets)
+    side = np.array(blocks) == blocks[0]
+    one = np.flatnonzero(side)
+    two = np.flatnonzero(~side) if across else one
+    if not len(two):
+        return []
+    common = _overlaps([sets[i] for i in one], [sets[i] for i in two] if across else None)
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    union = sizes[:, None] + sizes[None, :] - common
+    union = sizes[one, None] + sizes[None, two] - common
     linked = common / np.maximum(union, 1) >= similarity
-    np.fill_diagonal(linked, False)
+    if not across:
+        np.fill_diagonal(linked, False)
+    links = linked.sum(axis=1).tolist()
     if across:
-        side = np.array(blocks)
-        linked &= side[:, None] != side[None, :]
-    links = linked.sum(axis=1)
-    label = np.arange(len(nodes))
-    while True:  # smallest label among the neighbours, until nothing changes
-        reach = np.where(linked, label[None, :], len(nodes)).min(axis=1, initial=len(nodes))
-        new = np.minimum(label, reach)
-        new = np.minimum(new, new[new])
-        if (new == label).all():
-            break
-        label = new
+        roots, others = _groups(linked)
+        found = zip(two.tolist(), others.tolist(), linked.sum(axis=0).tolist())
+    else:
+        np.fill_diagonal(linked, True)  # the row and the column of a node belong together
+        (roots, _), found = _groups(linked), ()
     return [
-        (nodes[i], nodes[label[i]], int(links[i])) for i in np.flatnonzero(links).tolist()
+        (nodes[i], nodes[one[root]], n)
+        for i, root, n in [*zip(one.tolist(), roots.tolist(), links), *found]
+        if n
     ]
 
 
